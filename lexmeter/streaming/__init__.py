@@ -1,0 +1 @@
+"""Empty on purpose: all the work is batch work over bounded tables."""
