@@ -2,8 +2,8 @@
 
 The texts of ``conversations`` stand for reviews, with ``conv_id`` as the document
 key; ``part`` stands for product metadata. ``documents`` and ``lineitem`` are the large
-inputs. Floating-point results that go through a logarithm or a sum of
-products are rounded to 6 places on both sides, as the last bit depends on the engine.
+inputs. Results that go through a logarithm or a sum of products are rounded to
+6 places on both sides, as their last bit depends on the engine.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ def corpus_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(lm.term_frequency(_counts(spark, sf_dir), CONV), "tf")
+    return lm.term_frequency(_counts(spark, sf_dir), CONV)
 
 
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +102,11 @@ def inverse_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(lm.tfidf(_counts(spark, sf_dir), CONV), "tf", "idf", "tfidf")
+    return _rounded(lm.tfidf(_counts(spark, sf_dir), CONV), "idf", "tfidf")
 
 
 def tf_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(lm.tf_top(_counts(spark, sf_dir), CONV), "tf")
+    return lm.tf_top(_counts(spark, sf_dir), CONV)
 
 
 def idf_top(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,7 @@ def idf_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(lm.tfidf_top(_counts(spark, sf_dir), CONV), "tf", "idf", "tfidf")
+    return _rounded(lm.tfidf_top(_counts(spark, sf_dir), CONV), "idf", "tfidf")
 
 
 def avg_text_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,12 +168,12 @@ def write_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tfidf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = lm.review_tfidf(_documents(spark, sf_dir), DOC, "text")
-    return _rounded(result, "tf", "idf", "tfidf")
+    return _rounded(result, "idf", "tfidf")
 
 
 def tfidf_top_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = lm.term_counts(_documents(spark, sf_dir), DOC, "text")
-    return _rounded(lm.tfidf_top(counts, DOC), "tf", "idf", "tfidf")
+    return _rounded(lm.tfidf_top(counts, DOC), "idf", "tfidf")
 
 
 def pearson_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +258,7 @@ WITH tokens AS (
 
 def _tfidf_sql(table: str, key: str) -> str:
     return f"""{_corpus(table, key)}
-SELECT {key}, each_word, round(tf, 6) AS tf, docs_with_term,
+SELECT {key}, each_word, tf, docs_with_term,
        round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf
 FROM scored"""
 
@@ -307,13 +307,13 @@ FROM conversations""",
 SELECT each_word, count(*) AS "count" FROM tokens GROUP BY each_word""",
         "term_counts": f"{conv} SELECT {CONV}, each_word, num_words FROM counts",
         "corpus_size": f"{conv} SELECT n AS total_num_docs FROM corpus",
-        "term_frequency": f"{conv} SELECT {CONV}, each_word, round(tf, 6) AS tf FROM scored",
+        "term_frequency": f"{conv} SELECT {CONV}, each_word, tf FROM scored",
         "document_frequency": f"{conv} SELECT each_word, docs_with_term FROM frequency",
         "inverse_document_frequency": f"""{conv}
 SELECT each_word, {CONV}, docs_with_term, round(idf, 6) AS idf FROM scored""",
         "tfidf": _tfidf_sql("conversations", CONV),
         "tf_top": f"""{conv}
-SELECT {CONV}, each_word, round(tf, 6) AS tf FROM scored {_top("num_words")}""",
+SELECT {CONV}, each_word, tf FROM scored {_top("num_words")}""",
         "idf_top": f"""{conv}
 SELECT each_word, {CONV}, docs_with_term, round(idf, 6) AS idf FROM scored {_top("idf")}""",
         "tfidf_top": _tfidf_sql("conversations", CONV) + _top("tf * idf"),

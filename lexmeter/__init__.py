@@ -21,7 +21,11 @@ from lexmeter.operators.text import (
     tokenize,
     word_counts,
 )
-from lexmeter.plans.jobs import price_length_correlation, review_tfidf
+from lexmeter.plans.jobs import (
+    price_length_correlation,
+    review_tfidf,
+    write_review_tfidf,
+)
 from lexmeter.sources.landing import land, write_tfidf
 from lexmeter.sources.reviews import read_metadata, read_reviews
 from lexmeter.sources.tables import read_texts
@@ -50,5 +54,6 @@ __all__ = [
     "tfidf_top",
     "tokenize",
     "word_counts",
+    "write_review_tfidf",
     "write_tfidf",
 ]

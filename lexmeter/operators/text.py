@@ -61,12 +61,18 @@ def document_lengths(counts: DataFrame, key: str = KEY) -> DataFrame:
     return counts.groupBy(key).agg(F.sum("num_words").alias(DOC_LENGTH))
 
 
+def _present(counts: DataFrame) -> DataFrame:
+    """All rows of term counts, as no count is 0.
+
+    For results that need the words but not the counts: without the test the
+    optimizer would prune the counts there, and shuffle the words twice.
+    """
+    return counts.where(F.col("num_words") > 0)
+
+
 def document_frequency(counts: DataFrame) -> DataFrame:
     """Number of documents that contain each word."""
-    # A plain count would let the optimizer prune num_words and shuffle
-    # the words a second time without it.
-    contained = F.count_if(F.col("num_words") > 0)
-    return counts.groupBy(WORD).agg(contained.alias("docs_with_term"))
+    return _present(counts).groupBy(WORD).agg(F.count(F.lit(1)).alias("docs_with_term"))
 
 
 def _total_documents(counts: DataFrame, key: str) -> Column:
@@ -128,6 +134,7 @@ def tf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFrame
     return (
         lengths.join(F.broadcast(top), F.col(key).eqNullSafe(F.col("_doc")))
         .orderBy(*order)
+        .limit(rows)
         .select(key, WORD, (F.col("num_words") / F.col(DOC_LENGTH)).alias("tf"))
     )
 
@@ -141,8 +148,8 @@ def idf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFram
     of that many words are looked up.
     """
     order = [F.asc("docs_with_term"), F.asc(key), F.asc(WORD)]
-    words = counts.groupBy(WORD).agg(
-        F.count_if(F.col("num_words") > 0).alias("docs_with_term"),
+    words = _present(counts).groupBy(WORD).agg(
+        F.count(F.lit(1)).alias("docs_with_term"),
         F.min(key).alias("_first"),
         F.max(F.col(key).isNull()).alias("_unkeyed"),
     )
@@ -152,11 +159,12 @@ def idf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFram
         words.withColumn("_first", first)
         .orderBy(F.asc("docs_with_term"), F.asc("_first"), F.asc(WORD))
         .limit(rows)
-        .select(WORD, "docs_with_term")
+        .select(F.col(WORD).alias("_rare"), "docs_with_term")
     )
     ratio = _total_documents(counts, key) / F.col("docs_with_term")
     return (
-        counts.join(F.broadcast(rarest), WORD)
+        _present(counts)
+        .join(F.broadcast(rarest), F.col(WORD).eqNullSafe(F.col("_rare")))
         .orderBy(*order)
         .limit(rows)
         .select(WORD, key, "docs_with_term", F.ln(ratio).alias("idf"))

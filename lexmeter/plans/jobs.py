@@ -1,17 +1,19 @@
-"""The two results, from input tables to final DataFrame."""
+"""The two results, from input tables to final DataFrame or written tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from lexmeter.functions.fixed import KEY, PRICE, TEXT
+from lexmeter.functions.fixed import KEY, PRICE, TEXT, TOP_ROWS
 from lexmeter.operators.correlate import (
     avg_text_length,
     clean_prices,
     pearson,
     price_vs_length,
 )
-from lexmeter.operators.text import term_counts, tfidf
+from lexmeter.operators.text import WORD, idf_top, term_counts, tf_top, tfidf
+from lexmeter.sources.landing import write_tfidf
 
 
 def review_tfidf(reviews: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
@@ -19,6 +21,23 @@ def review_tfidf(reviews: DataFrame, key: str = KEY, text: str = TEXT) -> DataFr
     return tfidf(term_counts(reviews, key, text), key)
 
 
+def write_review_tfidf(
+    reviews: DataFrame, folder: str, key: str = KEY, text: str = TEXT
+) -> dict[str, DataFrame]:
+    """Write term counts and TF-IDF below ``folder``; return the three top lists.
+
+    The counts are written first, so that splitting the texts is done once for all
+    results and a lost executor costs none of it.
+    """
+    spark = reviews.sparkSession
+    term_counts(reviews, key, text).write.mode("overwrite").parquet(f"{folder}/term_counts")
+    counts = spark.read.parquet(f"{folder}/term_counts")
+    write_tfidf(tfidf(counts, key), f"{folder}/tfidf")
+    scores = spark.read.parquet(f"{folder}/tfidf")
+    best = scores.orderBy(F.desc("tfidf"), F.asc(key), F.asc(WORD)).limit(TOP_ROWS)
+    return {"tf": tf_top(counts, key), "idf": idf_top(counts, key), "tfidf": best}
+
+
 def price_length_correlation(
     reviews: DataFrame,
     metadata: DataFrame,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_texts(spark: SparkSession, path: str, *columns: str) -> DataFrame:
@@ -15,9 +14,15 @@ def read_texts(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """
     texts = spark.read.parquet(path).select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    per_core = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+    jvm = spark.sparkContext._jvm
+    per_core = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.openCostInBytes")
     )
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    size = files.agg(F.sum("length")).first()[0] or 0
-    return texts.repartition(cores) if size < cores * per_core else texts
+    return texts.repartition(cores) if _size(spark, path) < cores * per_core else texts
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(where).getLength()

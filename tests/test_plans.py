@@ -1,0 +1,92 @@
+"""Executed plans: what is read, shuffled and computed, and how often."""
+
+import re
+
+import pytest
+from helpers import executed_nodes, plan_of
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import lexmeter as lm
+
+SF_DIR = "/root/testdata/sf0.001"
+IN_PYTHON = re.compile("EvalPython|InPandas|InArrow|PythonMapIn|ExistingRDD")
+
+
+@pytest.fixture
+def counts(spark):
+    texts = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    return lm.term_counts(texts, "doc_id", "text")
+
+
+@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+def test_no_query_leaves_the_jvm_or_makes_pairs(spark, name):
+    plan = plan_of(__spark_entry__.queries()[name](spark, SF_DIR))
+    assert not IN_PYTHON.search(plan)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize(
+    "result",
+    [
+        lm.term_frequency,
+        lm.inverse_document_frequency,
+        lm.tfidf,
+        lm.tf_top,
+        lm.idf_top,
+        lm.tfidf_top,
+    ],
+)
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_texts_are_split_and_shuffled_once(counts, conf, result, broadcast):
+    conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    nodes = executed_nodes(result(counts, "doc_id"))
+    assert nodes["Scan"] == 1
+    assert nodes["Window"] == 0
+
+
+def test_shuffled_lookups_are_salted(counts, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    scores = lm.tfidf(counts, "doc_id")
+    joins = [line for line in plan_of(scores).splitlines() if "SortMergeJoin" in line]
+    assert joins and all("_salt" in line for line in joins)
+    assert executed_nodes(scores)["SortMergeJoin"] == 2
+
+
+def test_top_lists_sort_no_whole_table(counts):
+    for top in (lm.tf_top, lm.idf_top, lm.tfidf_top):
+        plan = plan_of(top(counts, "doc_id"))
+        assert "TakeOrderedAndProject" in plan and "], true, 0" not in plan
+
+
+def test_only_needed_columns_are_read(spark):
+    query = __spark_entry__.queries()["tfidf_documents"](spark, SF_DIR)
+    schemas = set(re.findall(r"ReadSchema: (\S+)", plan_of(query)))
+    assert schemas == {"struct<doc_id:bigint,text:string>"}
+    query = __spark_entry__.queries()["pearson_price_quantity"](spark, SF_DIR)
+    schemas = set(re.findall(r"ReadSchema: (\S+)", plan_of(query)))
+    assert "struct<l_partkey:bigint,l_quantity:double>" in schemas
+    assert all("p_name" not in s and "l_orderkey" not in s for s in schemas)
+
+
+def test_price_filter_reaches_the_landed_table(spark, tmp_path):
+    path = str(tmp_path / "metadata")
+    spark.sql("SELECT 'A' AS asin, float(1) AS price, 't' AS title").write.parquet(path)
+    plan = plan_of(lm.clean_prices(spark.read.parquet(path)))
+    assert "GreaterThan(price,0.0)" in plan and "LessThan(price,Infinity)" in plan
+    assert "struct<asin:string,price:float>" in plan
+
+
+def test_corpus_size_does_not_split_texts(spark):
+    texts = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = plan_of(lm.corpus_size(texts, "doc_id", "text"))
+    assert "split(" not in plan and "explode" not in plan
+
+
+def test_small_tables_are_spread_and_large_ones_left(spark, conf):
+    path = f"{SF_DIR}/documents.parquet"
+    assert "RoundRobin" in plan_of(lm.read_texts(spark, path, "text"))
+    conf("spark.sql.files.openCostInBytes", "1k")
+    plan = plan_of(lm.read_texts(spark, path, "text").select(F.length("text")))
+    assert "Exchange" not in plan

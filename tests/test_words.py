@@ -1,0 +1,83 @@
+"""Single functions on single values."""
+
+import math
+
+import pytest
+from helpers import PRICES, REVIEWS
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import lexmeter as lm
+from lexmeter.functions import has_word, space_word_count, word_array
+
+
+def test_split_is_ascii_and_lower_cased(spark):
+    rows = spark.createDataFrame([("k", "Hello, it's_me café über 42!")], REVIEWS)
+    got = [r.each_word for r in lm.tokenize(rows).collect()]
+    assert got == ["hello", "it", "s", "me", "caf", "ber", "42"]
+
+
+def test_letters_that_only_lower_case_makes_ascii_stay_breaks(spark):
+    # Kelvin sign and capital dotted I have ASCII letters as lower case.
+    rows = spark.createDataFrame([("k", "5K aİb")], REVIEWS)
+    assert [r.each_word for r in lm.tokenize(rows).collect()] == ["5", "a", "b"]
+
+
+def test_lines_keep_empties(spark):
+    rows = spark.createDataFrame([("k", "'a b!")], REVIEWS)
+    assert lm.doc_lines(rows).first().a_line == ["", "a", "b", ""]
+
+
+TEXTS = ["", "a", "a b", " a  b ", "a\tb c", "x ", " ", "é ü", None]
+
+
+def test_space_word_count(spark):
+    rows = spark.createDataFrame([(t, t) for t in TEXTS], REVIEWS)
+    got = [(r.asin or "", r.avg_length) for r in lm.avg_text_length(rows).collect()]
+    assert sorted(got) == sorted({(t or "", float(len((t or "").split(" ")))) for t in TEXTS})
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(max_size=30), min_size=1, max_size=30))
+def test_expressions_agree_with_python(spark, texts):
+    texts = [t for t in texts if t.isprintable() or t.isascii()]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(
+        "t",
+        space_word_count(F.col("t")).alias("n"),
+        has_word(F.col("t")).alias("any"),
+        (F.size(F.filter(word_array(F.col("t")), lambda w: w != "")) > 0).alias("some"),
+    ).collect()
+    for row in got:
+        assert row.n == len(row.t.split(" "))
+        assert row.any == row.some
+
+
+def test_prices(spark):
+    given_prices = ["NaN", "Infinity", "-Infinity", "-1", "0", "abc", None, "$5", "1e3", " 7 "]
+    rows = spark.createDataFrame([("k", p) for p in given_prices], PRICES)
+    assert sorted(r.price for r in lm.clean_prices(rows).collect()) == [7.0, 1000.0]
+    unkeyed = spark.createDataFrame([(None, "5"), ("k", "5")], PRICES)
+    assert lm.clean_prices(unkeyed).count() == 1
+    numbers = [math.nan, math.inf, -1.0, 0.0, 999.9, 1e300]
+    rows = spark.createDataFrame([("k", p) for p in numbers], "asin string, price double")
+    assert [r.price for r in lm.clean_prices(rows).collect()] == [pytest.approx(999.9, abs=1e-4)]
+
+
+@pytest.mark.parametrize(
+    ("pairs", "expected"),
+    [
+        ([], None),
+        ([(1.0, 2.0)], None),
+        ([(1.0, 2.0), (1.0, 3.0)], None),
+        ([(1.0, 2.0), (5.0, 2.0)], None),
+        ([(1.0, None), (None, 3.0)], None),
+        ([(1.0, 2.0), (2.0, None), (3.0, 5.0), (4.0, 1.0)], -0.052414),
+        ([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0)], 1.0),
+    ],
+)
+def test_pearson(spark, pairs, expected):
+    table = spark.createDataFrame(pairs, "price double, avg_length double")
+    [(r,)] = lm.pearson(table).collect()
+    assert r is None if expected is None else r == pytest.approx(expected, abs=1e-6)
