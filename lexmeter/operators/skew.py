@@ -23,7 +23,8 @@ def with_pieces(weights: DataFrame, weight: str) -> DataFrame:
     """Add the number of pieces, each at most an average partition, a key needs."""
     partitions = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = weights.agg(F.sum(weight)).scalar()
-    return weights.withColumn(PIECES, F.ceil(F.col(weight) * F.lit(partitions) / total))
+    share = F.col(weight).cast("double") / total
+    return weights.withColumn(PIECES, F.ceil(share * partitions))
 
 
 def hot_keys(pieces: DataFrame, key: str) -> DataFrame:
@@ -64,12 +65,17 @@ def join_salted(
 def join_heavy_light(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Inner-join ``lookup``, one row per ``key``, onto ``rows`` that may be all alike.
 
-    Rows of hot keys meet a broadcast of their few lookup rows where they are read;
-    only the others are shuffled.
+    Nothing tells such rows apart, so they cannot be salted in a way that a second
+    run repeats. Rows of hot keys meet a broadcast of their few lookup rows where
+    they are read; only the others are shuffled.
     """
+    rows = rows.where(F.col(key).isNotNull())
     weights = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_weight"))
     hot = F.broadcast(hot_keys(with_pieces(weights, "_weight"), key).select("_hot"))
     is_hot = F.col(key) == F.col("_hot")
-    heavy = rows.join(F.broadcast(lookup.join(hot, is_hot, "left_semi")), key)
+    # An inner join, as a semi join would be pushed below the aggregate the lookup
+    # comes from, which then would be computed twice.
+    few = lookup.join(hot, is_hot).drop("_hot")
+    heavy = rows.join(F.broadcast(few), key)
     light = rows.join(hot, is_hot, "left_anti").join(lookup, key)
     return heavy.unionByName(light)

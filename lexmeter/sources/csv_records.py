@@ -1,8 +1,8 @@
 """CSV whose quoted fields may hold line breaks, read in parallel.
 
-Spark reads such a file whole in one task (``multiLine``). Here it is read as lines,
-one task per split, and lines are put together again where a quote is still open.
-The files must escape quotes as RFC 4180 does: only quoted fields hold quotes, and
+Spark reads such a file whole in one task (``multiLine``). That suits many files, but
+not a few huge ones. Those are read as lines here, one task per split, and lines
+are put together again where a quote is still open. The files must escape quotes as RFC 4180 does: only quoted fields hold quotes, and
 they are doubled. A line break then lies inside a field exactly where an odd number
 of quotes precedes it. So a record of several lines starts with a line with an odd
 number of quotes, ends with the next such line, and has only lines with an even
@@ -20,9 +20,17 @@ DIALECT = {"quote": '"', "escape": '"', "multiLine": "true"}
 SPLIT = ["_file", "_split"]
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, named by the header line each file begins with."""
-    names = spark.read.options(header=True, quote='"', escape='"').csv(path).columns
+def read_csv(spark: SparkSession, path: str, largest_whole: int = 2**30) -> DataFrame:
+    """All columns as strings, named by the header line each file begins with.
+
+    Files up to ``largest_whole`` bytes are read by one task each, which is the
+    cheapest way. If any is larger, all are read in splits.
+    """
+    reader = spark.read.options(header=True, **DIALECT)
+    files = spark.read.format("binaryFile").load(path)
+    if (files.agg(F.max("length")).first()[0] or 0) <= largest_whole:
+        return reader.csv(path)
+    names = reader.csv(path).columns
     schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
     record = F.from_csv("record", schema, DIALECT).alias("record")
     return _records(_lines(spark, path)).select(record).select("record.*")

@@ -46,7 +46,10 @@ def plan_of(table):
 
 
 def executed_nodes(table):
-    """Run a query; count the operators that ran by name, each shared one once."""
+    """Run a query; count the operators that ran by name, each shared one once.
+
+    Scans are named by the last column they read.
+    """
     table._jdf.collectToPython()
     found = {}
 
@@ -58,7 +61,8 @@ def executed_nodes(table):
             return visit(node.executedPlan())
         if name.endswith("QueryStage"):
             return visit(node.plan())
-        found[node.id()] = name.split(" ")[0] if name.startswith("Scan") else name
+        scan = name.startswith("Scan")
+        found[node.id()] = f"Scan {node.schema().fieldNames()[-1]}" if scan else name
         for below in (node.children(), node.subqueries()):
             for i in range(below.size()):
                 visit(below.apply(i))

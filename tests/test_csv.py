@@ -4,6 +4,7 @@ import csv
 import io
 
 import pytest
+from helpers import executed_nodes, plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -17,6 +18,10 @@ def as_csv(rows, end="\n"):
     return out.getvalue()
 
 
+def in_splits(spark, path):
+    return read_csv(spark, path, largest_whole=0)
+
+
 def in_one_task(spark, path):
     return spark.read.csv(path, header=True, multiLine=True, escape='"')
 
@@ -29,7 +34,7 @@ def in_small_splits(conf, size):
 def both(spark, path):
     return [
         sorted(map(tuple, table.collect()), key=str)
-        for table in (read_csv(spark, path), in_one_task(spark, path))
+        for table in (in_splits(spark, path), in_one_task(spark, path))
     ]
 
 
@@ -70,7 +75,7 @@ def test_several_files_with_a_header_each(spark, conf, tmp_path):
 def test_carriage_returns_and_blank_lines(spark, tmp_path):
     text = as_csv([["asin", "reviewText"], ["A", "x\r\ny"], ["B", "b"]], "\r\n") + "\r\n\r\n"
     (tmp_path / "a.csv").write_bytes(text.encode())
-    rows = sorted(map(tuple, read_csv(spark, str(tmp_path / "a.csv")).collect()))
+    rows = sorted(map(tuple, in_splits(spark, str(tmp_path / "a.csv")).collect()))
     assert rows == [("A", "x\r\ny"), ("B", "b")]
 
 
@@ -82,7 +87,7 @@ def test_empty_fields(spark, tmp_path):
 
 def test_header_names(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",asin,odd `name\n0,A,x\n")
-    table = read_csv(spark, str(tmp_path / "a.csv"))
+    table = in_splits(spark, str(tmp_path / "a.csv"))
     assert table.columns == ["_c0", "asin", "odd `name"]
     assert table.collect() == [("0", "A", "x")]
 
@@ -99,15 +104,26 @@ def test_any_table(spark, tmp_path_factory, rows, size):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
     try:
-        got = sorted(map(tuple, read_csv(spark, str(path)).collect()))
+        got = sorted(map(tuple, in_splits(spark, str(path)).collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == sorted((r[0], r[1] or None, r[2] or None) for r in numbered)
 
 
-def test_land(spark, conf, tmp_path):
+def test_only_large_files_are_split(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(as_csv(ROWS))
+    whole = read_csv(spark, str(tmp_path / "a.csv"))
+    assert "from_csv" not in plan_of(whole)
+    assert sorted(map(tuple, whole.collect())) == sorted(tuple(r) for r in ROWS[1:])
+    split = in_splits(spark, str(tmp_path / "a.csv"))
+    assert "from_csv" in plan_of(split)
+    nodes = executed_nodes(split)
+    # Once for the state of the quoting, once for the records.
+    assert sum(n for name, n in nodes.items() if name.startswith("Scan")) == 2
+
+
+def test_land(spark, tmp_path):
     (tmp_path / "a.csv").write_text(as_csv(ROWS))
-    in_small_splits(conf, 100)
     columns = {"asin": "string", "_c0": "int", "reviewText": "string"}
     table = lm.land(spark, str(tmp_path / "a.csv"), str(tmp_path / "landed"), columns)
     assert table.dtypes == list(columns.items())

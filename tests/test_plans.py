@@ -41,7 +41,7 @@ def test_no_query_leaves_the_jvm_or_makes_pairs(spark, name):
 def test_texts_are_split_and_shuffled_once(counts, conf, result, broadcast):
     conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
     nodes = executed_nodes(result(counts, "doc_id"))
-    assert nodes["Scan"] == 1
+    assert nodes["Scan text"] == 1
     assert nodes["Window"] == 0
 
 

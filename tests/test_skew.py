@@ -113,6 +113,18 @@ def test_copies_of_a_hot_product_stay_where_they_are_read(spark, joins):
         assert nodes["SortMergeJoin"] == 1 and nodes["BroadcastHashJoin"] >= 2
 
 
+def test_texts_are_read_once_beside_a_hot_product(spark, joins, tmp_path):
+    spark.range(3000).selectExpr("if(id < 1500, 7, id) AS asin", "float(1 + id % 5) AS price")\
+        .write.parquet(f"{tmp_path}/metadata")
+    spark.range(2000).selectExpr("id AS asin", "repeat('x ', int(id % 7)) AS reviewText")\
+        .write.parquet(f"{tmp_path}/reviews")
+    prices = lm.clean_prices(spark.read.parquet(f"{tmp_path}/metadata"))
+    lengths = lm.avg_text_length(spark.read.parquet(f"{tmp_path}/reviews"))
+    nodes = executed_nodes(lm.price_vs_length(prices, lengths))
+    assert nodes["Union"] == 1
+    assert nodes["Scan reviewText"] == 1
+
+
 def test_joins_without_rows(spark):
     rows = spark.createDataFrame([], "k string, v int")
     lookup = spark.createDataFrame([("a", 1)], "k string, w int")
