@@ -41,9 +41,11 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _new_folder(spark: SparkSession) -> str:
-    """A new folder in the shared folder of the cluster; own one where none is set."""
+    """A new folder in the shared folder of the cluster; in local mode it may be unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="lexmeter-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared}/{uuid.uuid4().hex}"

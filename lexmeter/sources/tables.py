@@ -22,7 +22,8 @@ def read_texts(spark: SparkSession, path: str, *columns: str) -> DataFrame:
 
 
 def _size(spark: SparkSession, path: str) -> int:
-    """Bytes of the files under a path."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getContentSummary(where).getLength()
+    """Bytes of the files under a path, which may hold wildcards."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.globStatus(pattern) or []
+    return sum(files.getContentSummary(status.getPath()).getLength() for status in found)

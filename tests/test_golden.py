@@ -86,7 +86,7 @@ def test_parts_of_tfidf(reviews):
 def test_counts(reviews):
     assert dict(lm.doc_counts(reviews).collect()) == {
         "A1": 2, "A2": 1, "A3": 1, "A4": 1, "A6": 1, "A7": 1,
-    }
+    }
     counts = dict(lm.word_counts(reviews).collect())
     assert counts["good"] == 3 and sum(counts.values()) == 15
     assert lm.tokenize(reviews).count() == 15
@@ -101,11 +101,11 @@ def test_tops(reviews):
     top = lm.tf_top(counts, rows=3).collect()
     assert [tuple(r) for r in top] == [
         ("A1", "good", 0.5), ("A1", "book", 0.25), ("A1", "read", 0.25),
-    ]
+    ]
     top = lm.idf_top(counts, rows=4).collect()
     assert [(r.asin, r.each_word) for r in top] == [
         ("A1", "book"), ("A1", "read"), ("A2", "plot"), ("A4", "it"),
-    ]
+    ]
 
 
 def test_price_against_length(spark, reviews, tmp_path):
@@ -113,7 +113,7 @@ def test_price_against_length(spark, reviews, tmp_path):
     lengths = lm.avg_text_length(reviews)
     assert dict(lengths.collect()) == {
         "A1": 2.5, "A2": 3.0, "A3": 1.0, "A4": 1.0, "A6": 5.0, "A7": 1.0,
-    }
+    }
     prices = lm.clean_prices(meta)
     assert prices.schema["price"].dataType.simpleString() == "float"
     assert sorted(prices.collect()) == [("A1", 10.0), ("A2", 2.5), ("A5", 5.0), ("A6", 4.0)]

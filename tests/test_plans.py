@@ -87,6 +87,7 @@ def test_corpus_size_does_not_split_texts(spark):
 def test_small_tables_are_spread_and_large_ones_left(spark, conf):
     path = f"{SF_DIR}/documents.parquet"
     assert "RoundRobin" in plan_of(lm.read_texts(spark, path, "text"))
+    assert "RoundRobin" in plan_of(lm.read_texts(spark, f"{SF_DIR}/doc*.parquet", "text"))
     conf("spark.sql.files.openCostInBytes", "1k")
     plan = plan_of(lm.read_texts(spark, path, "text").select(F.length("text")))
     assert "Exchange" not in plan

@@ -65,6 +65,24 @@ def test_idf_top_with_few_and_many_ties(spark):
         assert top == sorted((v[1], *k) for k, v in expected.items())[:n]
 
 
+def test_idf_top_lists_documents_without_key_first(spark):
+    rows = [("b", "x y"), (None, "y z"), ("a", "x q"), (None, "q")]
+    counts = lm.term_counts(spark.createDataFrame(rows, REVIEWS))
+    top = [(r.asin, r.each_word, r.docs_with_term) for r in lm.idf_top(counts).collect()]
+    assert top == [
+        (None, "z", 1),
+        (None, "q", 2),
+        (None, "y", 2),
+        ("a", "q", 2),
+        ("a", "x", 2),
+        ("b", "x", 2),
+        ("b", "y", 2),
+    ]
+    assert [r.asin for r in lm.idf_top(counts, rows=2).collect()] == [None, None]
+    tf = [(r.asin, r.each_word, r.tf) for r in lm.tf_top(counts, rows=1).collect()]
+    assert tf == [(None, "q", 1 / 3)]
+
+
 def test_hot_keys_are_bounded_by_the_partitions(spark, conf):
     weights = spark.createDataFrame([(i, 2**i) for i in range(40)], "k int, n long")
     for partitions in (1, 4, 30):
