@@ -54,14 +54,15 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _split_states(lines: DataFrame) -> DataFrame:
-    """One row per split: whether a quote is open at its start, and where it opened."""
-    turns = lines.groupBy(*SPLIT).agg(F.sum("_turns").alias("_turns"))
+    """One row per split: turns before and in it, and the split that opened its quote."""
+    turns = lines.groupBy(*SPLIT).agg(F.sum("_turns").alias("_inside"))
     by_file = Window.partitionBy("_file").orderBy("_split")
     earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    turning = F.when(F.col("_turns") > 0, F.col("_split"))
+    turning = F.when(F.col("_inside") > 0, F.col("_split"))
     return turns.select(
         *SPLIT,
-        (F.coalesce(F.sum("_turns").over(earlier), F.lit(0)) % 2).alias("_open"),
+        "_inside",
+        (F.coalesce(F.sum("_inside").over(earlier), F.lit(0)) % 2).alias("_open"),
         F.last(turning, ignorenulls=True).over(earlier).alias("_opened_in"),
     )
 
@@ -73,35 +74,41 @@ def _joined_lines(order: str, text: str) -> Column:
 
 
 def _records(lines: DataFrame) -> DataFrame:
-    """One row per record, without header and blank lines."""
-    whole = Window.partitionBy(*SPLIT)
-    so_far = whole.orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
-    turns_before = F.sum("_turns").over(so_far) - F.col("_turns")
-    starts = ((F.col("_open") + turns_before) % 2 == 0).cast("int")
+    """One row per record, without header and blank lines.
+
+    Turns are counted from the start of a split, a quote that is open there being the
+    first. Before the lines of the k-th record of several lines there are 2k turns
+    (its first line) or 2k + 1 (all others). A line without a turn and an even number
+    before it is a record by itself.
+    """
+    so_far = Window.partitionBy(*SPLIT).orderBy("_line")
+    before = F.col("_open") + F.sum("_turns").over(so_far) - F.col("_turns")
     placed = (
         lines.join(_split_states(lines), SPLIT)
-        .withColumn("_starts", starts)
-        .withColumn("_number", F.row_number().over(so_far))
-        .withColumn("_seen", F.sum("_starts").over(so_far))
-        .withColumn("_to_come", F.sum("_starts").over(whole) - F.col("_seen"))
+        .withColumns({"_before": before, "_number": F.row_number().over(so_far)})
         .where((F.col("_split") > 0) | (F.col("_number") > 1))
-        .withColumn("_head", F.col("_seen") == 0)
+        .withColumn("_record", F.floor(F.col("_before") / 2))
     )
-    # Within its split a record is known by the number of starts after it. Lines
-    # before the first start belong to the last record of an earlier split; only
-    # these heads and the last record of each split can be cut.
-    parts = placed.groupBy(*SPLIT, "_opened_in", "_to_come", "_head").agg(
-        _joined_lines("_line", "value").alias("_part")
+    alone = (F.col("_turns") == 0) & (F.col("_before") % 2 == 0)
+    head = (F.col("_open") == 1) & (F.col("_record") == 0)
+    end = F.col("_open") + F.col("_inside")
+    tail = (end % 2 == 1) & (F.col("_record") == F.floor(end / 2))
+    cut = ~alone & (head | tail)
+    whole = (
+        placed.where(~cut)
+        .groupBy(*SPLIT, "_record", F.when(alone, F.col("_line")).alias("_alone"))
+        .agg(_joined_lines("_line", "value").alias("record"))
     )
-    cut = F.col("_head") | (F.col("_to_come") == 0)
-    owner = F.when(F.col("_head"), F.col("_opened_in")).otherwise(F.col("_split"))
+    # The parts of a cut record are joined in their splits, and then across them.
+    owner = F.when(head, F.col("_opened_in")).otherwise(F.col("_split"))
     mended = (
-        parts.where(cut)
-        .groupBy("_file", owner.alias("_owner"))
+        placed.where(cut)
+        .groupBy(*SPLIT, owner.alias("_owner"))
+        .agg(_joined_lines("_line", "value").alias("_part"))
+        .groupBy("_file", "_owner")
         .agg(_joined_lines("_split", "_part").alias("record"))
     )
-    complete = parts.where(~cut).select(F.col("_part").alias("record"))
-    records = complete.unionByName(mended.select("record"))
+    records = whole.select("record").unionByName(mended.select("record"))
     without_return = F.left("record", F.length("record") - 1)
     ended = F.when(F.endswith("record", F.lit("\r")), without_return).otherwise(F.col("record"))
     return records.select(ended.alias("record")).where(F.trim("record") != "")
