@@ -4,23 +4,26 @@ import pytest
 
 import lexmeter as lm
 
-REVIEWS_CSV = '''_c0,asin,helpful,reviewText,summary
-0,A1,"[0, 0]","Good book, good READ",s
-1,A1,,,s
-2,A2,,good  plot,s
-3,A3,,"",s
-4,A4,,it's_me,s
-5,A6,,one two three four five,s
-6,A7,,x,s
+REVIEWS_CSV = '''\
+,asin,helpful,overall,reviewText,reviewTime,reviewerID,reviewerName,summary,unixReviewTime
+0,A1,"[0, 0]",5,"Good book, good READ","05 5, 2014",R1,n,s,1399248000
+1,A1,"[2, 2]",4,,"01 6, 2014",R2,n,s,1388966400
+2,A2,"[0, 0]",4,good  plot,"04 4, 2014",R3,n,s,1396569600
+3,A3,"[0, 0]",5,"","02 19, 2014",R4,n,s,1392768000
+4,A4,"[0, 0]",3.5,it's_me,"03 19, 2014",R5,,s,1395187200
+5,A6,"[1, 3]",5,one two three four five,"05 26, 2014",R6,n,"a ""b""",1401062400
+6,A7,"[0, 0]",1,x,"06 10, 2014",R7,n,s,bad
 '''
-METADATA_CSV = '''title,asin,price,imUrl
-t,A1,10.0,u
-t,A2,2.5,u
-t,A3,,u
-t,A4,abc,u
-t,A5,5.0,u
-t,A6,4.0,u
-t,A7,0,u
+METADATA_CSV = '''\
+asin,description,price,imUrl,related,categories,title,salesRank
+A1,"two
+lines",10.0,u,"{'also': ['A2', 'A3']}","[['Books']]",t,{}
+A2,d,2.5,u,,,t,
+A3,d,,u,,,t,
+A4,d,abc,u,,,t,
+A5,d,5.0,u,,,t,
+A6,d,4.0,u,,,t,
+A7,d,0,u,,,t,
 '''
 TFIDF = {
     ("A1", "good"): (0.5, 2, 0.916291, 0.458145),
@@ -125,6 +128,6 @@ def test_price_against_length(spark, reviews, tmp_path):
 
 
 def test_a_repeated_key_counts_again(spark, reviews, tmp_path):
-    meta = metadata(spark, tmp_path, METADATA_CSV + "t,A6,4.0,u\n")
+    meta = metadata(spark, tmp_path, METADATA_CSV + "A6,d,4.0,u,,,t,\n")
     [(r,)] = lm.price_length_correlation(reviews, meta).collect()
     assert r == pytest.approx(-0.528733, abs=1e-6)

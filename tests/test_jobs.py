@@ -9,26 +9,17 @@ from test_golden import METADATA_CSV, REVIEWS_CSV, TFIDF
 from lexmeter.__main__ import main
 
 
-@pytest.fixture
-def folder(spark, tmp_path, monkeypatch):
-    # The jobs take the running session; closing it is up to the tests.
-    (tmp_path / "reviews.csv").write_text(REVIEWS_CSV)
-    (tmp_path / "metadata.csv").write_text(METADATA_CSV)
-    return tmp_path
-
-
-def land_all(folder, monkeypatch):
-    from lexmeter import __main__
-
-    reviews = {"_c0": "int", "asin": "string", "reviewText": "string"}
-    monkeypatch.setattr(__main__, "REVIEW_COLUMNS", reviews)
-    monkeypatch.setattr(__main__, "METADATA_COLUMNS", {"asin": "string", "price": "float"})
+def test_from_csv_to_results(spark, tmp_path, capsys):
+    folder = tmp_path
+    (folder / "reviews.csv").write_text(REVIEWS_CSV)
+    (folder / "metadata.csv").write_text(METADATA_CSV)
     main(["land-reviews", f"{folder}/reviews.csv", f"{folder}/reviews"])
     main(["land-metadata", f"{folder}/metadata.csv", f"{folder}/metadata"])
-
-
-def test_from_csv_to_results(spark, folder, monkeypatch, capsys):
-    land_all(folder, monkeypatch)
+    landed = spark.read.parquet(f"{folder}/reviews")
+    kinds = dict(landed.dtypes)
+    assert (kinds["_c0"], kinds["overall"], kinds["unixReviewTime"]) == ("int", "double", "bigint")
+    assert landed.where("unixReviewTime IS NULL").count() == 1
+    assert dict(spark.read.parquet(f"{folder}/metadata").dtypes)["price"] == "float"
     main(["tfidf", f"{folder}/reviews", f"{folder}/out"])
     main(["pearson", f"{folder}/reviews", f"{folder}/metadata"])
     printed = capsys.readouterr().out
@@ -37,7 +28,7 @@ def test_from_csv_to_results(spark, folder, monkeypatch, capsys):
     assert float(r) == pytest.approx(-0.5, abs=1e-12)
     scores = spark.read.parquet(f"{folder}/out/tfidf").collect()
     assert {(r.asin, r.each_word) for r in scores} == set(TFIDF)
-    reviews = [tuple(r) for r in spark.read.parquet(f"{folder}/reviews").select("asin", "reviewText").collect()]
+    reviews = [tuple(r) for r in landed.select("asin", "reviewText").collect()]
     assert {(r.asin, r.each_word): r.tfidf for r in scores} == pytest.approx(
         {key: value[3] for key, value in brute_tfidf(reviews).items()}
     )
