@@ -46,20 +46,14 @@ def join_salted(
     pieces = with_pieces(lookup, weight)
     hot = F.broadcast(hot_keys(pieces, key))
     salt = F.pmod(F.xxhash64(spread), F.coalesce(PIECES, F.lit(1)))
-    left = (
-        rows.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
-        .withColumn(SALT, salt)
-        .drop("_hot", PIECES)
-    )
-    right = (
-        pieces.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.col(PIECES) - 1)))
-        .withColumnRenamed(key, "_lookup_key")
-        .drop(PIECES)
-    )
-    same_key = F.col(key).eqNullSafe(F.col("_lookup_key"))
-    return left.join(right, same_key & (F.col(SALT) == F.col("_lookup_salt"))).drop(
-        SALT, "_lookup_salt", "_lookup_key"
+    left = rows.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").select(
+        *rows.columns, salt.alias(SALT)
     )
+    values = [name for name in lookup.columns if name != key]
+    salts = F.explode(F.sequence(F.lit(0), F.col(PIECES) - 1))
+    right = pieces.select(F.col(key).alias("_key"), *values, salts.alias("_piece"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(SALT) == F.col("_piece"))
+    return left.join(right, same).select(*rows.columns, *values)
 
 
 def join_heavy_light(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
