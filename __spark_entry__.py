@@ -17,6 +17,15 @@ from pyspark.sql import functions as F
 
 import lexmeter as lm
 
+try:
+    import corpus_pipeline
+    from lexmeter.llm import registry
+except ModuleNotFoundError as missing:
+    # The package of training-data operators may be left out, with its pipeline.
+    if missing.name not in ("corpus_pipeline", "lexmeter.llm"):
+        raise
+    registry = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 CONV = "conv_id"
 DOC = "doc_id"
@@ -230,10 +239,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return tfidf_top(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
+    """The queries that need nothing but the library itself."""
     return {query.__name__: query for query in QUERIES}
 
 
+def queries() -> dict[str, Query]:
+    if registry is None:
+        return library_queries()
+    return library_queries() | registry.queries() | {"pipeline": corpus_pipeline.run}
+
+
 def _corpus(table: str, key: str) -> str:
     """Common table expressions of all text results over one table."""
     return f"""
@@ -294,7 +310,8 @@ SELECT CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) END AS pearson
 FROM (SELECT corr(CAST(price AS DOUBLE), avg_length) AS r FROM ({_pairs_sql(means)}))"""
 
 
-def oracle_sql() -> dict[str, str]:
+def library_sql() -> dict[str, str]:
+    """SQL of the library's own queries."""
     conv = _corpus("conversations", CONV)
     conv_length = _mean_length("conversations", CONV, "p_partkey")
     quantity = """
@@ -335,3 +352,10 @@ SELECT CAST(p_partkey AS VARCHAR) AS asin, price FROM ({PRICES})""",
         "pearson_documents": _pearson_sql(_mean_length("documents", DOC, "p_partkey")),
         "pearson_price_quantity": _pearson_sql(quantity),
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    if registry is None:
+        return library_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return library_sql() | registry.SQL | pipeline

@@ -19,11 +19,11 @@ def oracle():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(__spark_entry__.library_queries()))
 def test_query_matches_its_sql(spark, oracle, name):
     table = __spark_entry__.queries()[name](spark, SF_DIR)
     names = sorted(table.columns)
-    expected = oracle.execute(__spark_entry__.oracle_sql()[name])
+    expected = oracle.execute(__spark_entry__.library_sql()[name])
     found_names = [column[0] for column in expected.description]
     assert sorted(found_names) == names
     order = [found_names.index(column) for column in names]
@@ -37,5 +37,5 @@ def test_entry(spark):
 
 
 def test_bench_covers_the_registered_queries():
-    assert set(__spark_entry__.oracle_sql()) == set(__spark_entry__.queries())
+    assert set(__spark_entry__.library_sql()) == set(__spark_entry__.library_queries())
     assert bench.SF_DIR

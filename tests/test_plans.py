@@ -19,7 +19,7 @@ def counts(spark):
     return lm.term_counts(texts, "doc_id", "text")
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(__spark_entry__.library_queries()))
 def test_no_query_leaves_the_jvm_or_makes_pairs(spark, name):
     plan = plan_of(__spark_entry__.queries()[name](spark, SF_DIR))
     assert not IN_PYTHON.search(plan)
