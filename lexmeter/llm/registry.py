@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmeter.llm import decontamination
+from lexmeter.llm import (
+    decontamination,
+    simhash,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: tuple[Query, ...] = (decontamination.op8_benchmark_decontamination,)
+QUERIES: tuple[Query, ...] = (
+    simhash.op1_simhash_near_dedup,
+    decontamination.op8_benchmark_decontamination,
+)
 
 SQL: dict[str, str] = {
     "op8_benchmark_decontamination": decontamination.OP8_SQL,
