@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexmeter.llm import (
     decontamination,
+    language_id,
     simhash,
 )
 
@@ -15,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: tuple[Query, ...] = (
     simhash.op1_simhash_near_dedup,
+    language_id.op4_language_id,
     decontamination.op8_benchmark_decontamination,
 )
 
