@@ -60,45 +60,47 @@ def group_key(column: Column) -> Column:
 
 def running_totals(
     rows: DataFrame,
+    summary: DataFrame,
     group: str,
     key: str,
     order: list[Column],
-    totals: dict[str, Column],
+    total: str,
+    per_group: DataFrame | None = None,
     rows_per_slot: int = 4096,
 ) -> DataFrame:
-    """Sums over the rows of a group that come before each row, and over the whole group.
+    """Add ``<total>_before``, summed over the rows of the group before each row.
 
     ``key`` is a random hex key, ``order`` begins with it, and ``group`` has no NULL. A
     group may hold any share of the rows: all rows are cut into slots of about
     ``rows_per_slot`` by ranges of the key, sums run within a slot, and a small table
-    of slots gives what comes before it. ``totals`` maps a name to the column summed; each
-    adds ``<name>_before`` and ``<name>_all``.
+    of slots gives what comes before it. ``summary`` has the group, key and total of the
+    same rows. Columns of ``per_group``, one row per group, are joined to the slots
+    and so reach the rows without a join of their own, as does ``<total>_all``.
     """
     slot = fresh(rows.columns, "_slot")
-    slots = F.ceil(rows.agg(F.count(F.lit(1))).scalar() / rows_per_slot)
-    placed = rows.withColumn(slot, hex_slot(F.col(key), F.greatest(slots, F.lit(1))))
-    sums = {name: f"_{name}_in_slot" for name in totals}
-    by_slot = placed.groupBy(group, slot).agg(
-        *(F.sum(column).alias(sums[name]) for name, column in totals.items())
+    slots = F.greatest(
+        F.ceil(summary.agg(F.count(F.lit(1))).scalar() / rows_per_slot), F.lit(1).cast("long")
     )
+    before, whole = f"{total}_before", f"{total}_all"
+    by_slot = summary.groupBy(group, hex_slot(F.col(key), slots).alias(slot))
+    by_slot = by_slot.agg(F.sum(total).alias("_sum"))
     until = (Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(group).orderBy(slot).rowsBetween(*until)
     zero = F.lit(0).cast("long")
     starts = by_slot.select(
         group,
         slot,
-        *(F.coalesce(F.sum(sums[n]).over(earlier), zero).alias(f"_{n}_start") for n in totals),
-        *(F.sum(sums[n]).over(Window.partitionBy(group)).alias(f"{n}_all") for n in totals),
+        F.coalesce(F.sum("_sum").over(earlier), zero).alias("_start"),
+        F.sum("_sum").over(Window.partitionBy(group)).alias(whole),
     )
+    if per_group is not None:
+        starts = starts.join(per_group, group)
     here = Window.partitionBy(group, slot).orderBy(*order).rowsBetween(*until)
-    within = placed.withColumns(
-        {f"_{n}_within": F.coalesce(F.sum(c).over(here), zero) for n, c in totals.items()}
-    )
-    return within.join(starts, [group, slot]).select(
-        *rows.columns,
-        *((F.col(f"_{n}_start") + F.col(f"_{n}_within")).alias(f"{n}_before") for n in totals),
-        *(f"{n}_all" for n in totals),
-    )
+    within = rows.withColumn(slot, hex_slot(F.col(key), slots))
+    within = within.withColumn("_within", F.coalesce(F.sum(total).over(here), zero))
+    joined = within.join(starts, [group, slot])
+    added = [c for c in starts.columns if c not in (group, slot, "_start")]
+    return joined.select(*rows.columns, (F.col("_start") + F.col("_within")).alias(before), *added)
 
 
 __all__ = [

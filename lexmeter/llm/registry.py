@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexmeter.llm import (
     decontamination,
     language_id,
+    mixing,
     simhash,
 )
 
@@ -16,11 +17,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: tuple[Query, ...] = (
     simhash.op1_simhash_near_dedup,
+    mixing.op2_curriculum_mix,
     language_id.op4_language_id,
     decontamination.op8_benchmark_decontamination,
 )
 
 SQL: dict[str, str] = {
+    "op2_curriculum_mix": mixing.OP2_SQL,
     "op8_benchmark_decontamination": decontamination.OP8_SQL,
 }
 
