@@ -10,6 +10,7 @@ from lexmeter.llm import (
     decontamination,
     language_id,
     mixing,
+    sharding,
     simhash,
 )
 
@@ -19,6 +20,7 @@ QUERIES: tuple[Query, ...] = (
     simhash.op1_simhash_near_dedup,
     mixing.op2_curriculum_mix,
     language_id.op4_language_id,
+    sharding.op6_stratified_shards,
     decontamination.op8_benchmark_decontamination,
 )
 
