@@ -10,6 +10,7 @@ from lexmeter.llm import (
     decontamination,
     language_id,
     mixing,
+    secret_scan,
     sharding,
     simhash,
 )
@@ -22,9 +23,11 @@ QUERIES: tuple[Query, ...] = (
     language_id.op4_language_id,
     sharding.op6_stratified_shards,
     decontamination.op8_benchmark_decontamination,
+    secret_scan.op10_secret_ledger,
 )
 
 SQL: dict[str, str] = {
+    "op10_secret_ledger": secret_scan.OP10_SQL,
     "op2_curriculum_mix": mixing.OP2_SQL,
     "op8_benchmark_decontamination": decontamination.OP8_SQL,
 }
