@@ -10,6 +10,7 @@ from lexmeter.llm import (
     decontamination,
     language_id,
     mixing,
+    quality_rules,
     secret_scan,
     sharding,
     simhash,
@@ -22,6 +23,7 @@ QUERIES: tuple[Query, ...] = (
     mixing.op2_curriculum_mix,
     language_id.op4_language_id,
     sharding.op6_stratified_shards,
+    quality_rules.op7_weak_supervision,
     decontamination.op8_benchmark_decontamination,
     secret_scan.op10_secret_ledger,
 )
