@@ -10,6 +10,7 @@ from lexmeter.llm import (
     decontamination,
     language_id,
     mixing,
+    quality_classifier,
     quality_rules,
     secret_scan,
     sharding,
@@ -22,6 +23,7 @@ QUERIES: tuple[Query, ...] = (
     simhash.op1_simhash_near_dedup,
     mixing.op2_curriculum_mix,
     language_id.op4_language_id,
+    quality_classifier.op5_fourier_quality,
     sharding.op6_stratified_shards,
     quality_rules.op7_weak_supervision,
     decontamination.op8_benchmark_decontamination,
