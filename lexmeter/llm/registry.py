@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexmeter.llm import (
     decontamination,
     language_id,
+    line_dedup,
     mixing,
     quality_classifier,
     quality_rules,
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: tuple[Query, ...] = (
     simhash.op1_simhash_near_dedup,
     mixing.op2_curriculum_mix,
+    line_dedup.op3_site_line_dedup,
     language_id.op4_language_id,
     quality_classifier.op5_fourier_quality,
     sharding.op6_stratified_shards,
@@ -31,6 +33,7 @@ QUERIES: tuple[Query, ...] = (
 )
 
 SQL: dict[str, str] = {
+    "op3_site_line_dedup": line_dedup.OP3_SQL,
     "op10_secret_ledger": secret_scan.OP10_SQL,
     "op2_curriculum_mix": mixing.OP2_SQL,
     "op8_benchmark_decontamination": decontamination.OP8_SQL,
