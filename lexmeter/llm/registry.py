@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexmeter.llm import (
     decontamination,
     language_id,
+    license_scan,
     line_dedup,
     mixing,
     quality_classifier,
@@ -29,6 +30,7 @@ QUERIES: tuple[Query, ...] = (
     sharding.op6_stratified_shards,
     quality_rules.op7_weak_supervision,
     decontamination.op8_benchmark_decontamination,
+    license_scan.op9_license_scan,
     secret_scan.op10_secret_ledger,
 )
 
