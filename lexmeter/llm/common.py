@@ -42,9 +42,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def random_key(seed: int, row_id: Column) -> Column:
-    """32 hex digits that order rows at random but alike in every run."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row_id.cast("string"), F.lit(""))))
+def random_key(seed: int, row_id: Column, text: Column) -> Column:
+    """32 hex digits that order rows at random but alike in every run.
+
+    They depend on the id, and on the text where there is none.
+    """
+    name = F.coalesce(row_id.cast("string"), F.md5(text.cast("string").cast("binary")), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), name))
 
 
 def hex_slot(key: Column, slots: Column) -> Column:

@@ -95,7 +95,7 @@ def mix(
     before, whole = f"{words}_before", f"{words}_all"
     rows = docs.select(
         *kept,
-        random_key(seed, F.col(id)).alias(key),
+        random_key(seed, F.col(id), F.col(text)).alias(key),
         group_key(F.col(source)).alias(group),
         word_count(F.col(text)).alias(words),
     )
@@ -156,7 +156,7 @@ def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce("text", ''), '{WORD}')) AS size,
-    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), md5("text"), '')) AS key
   FROM documents
 ), sizes AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank

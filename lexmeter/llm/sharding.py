@@ -21,6 +21,7 @@ ROWS_PER_SLOT = 4096
 def interleave(
     docs: DataFrame,
     id: str = "doc_id",
+    text: str = "text",
     source: str = "source",
     shards: int = SHARDS,
     seed: int = SEED,
@@ -28,7 +29,8 @@ def interleave(
     """Add ``shard`` and ``slot``, the place in the shard, counted from 0 without gaps.
 
     Shards differ by at most one row; with fewer rows than shards, some are empty. NULL is
-    a source of its own. Rows with an equal id and source take their places in any order,
+    a source of its own. Rows without id are told apart by ``text``, which may be any column
+    that identifies it. Rows with an equal id and source take their places in any order,
     so a row repeated in all its columns leaves the result alike. Columns with the added
     names are replaced. All ranks are counted within slots of some thousand rows, by
     ranges of the hash and then of the fraction, whatever share of rows a source holds.
@@ -37,7 +39,7 @@ def interleave(
     key, group, one = (fresh(docs.columns, name) for name in ("_key", "_group", "_rows"))
     rows = docs.select(
         *kept,
-        random_key(seed, F.col(id)).alias(key),
+        random_key(seed, F.col(id), F.col(text)).alias(key),
         group_key(F.col(source)).alias(group),
         F.lit(1).cast("long").alias(one),
     )
@@ -73,7 +75,7 @@ def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    return interleave(sized).select(
+    return interleave(sized, text="text_crc32").select(
         "doc_id",
         "size",
         "text_crc32",
