@@ -1,0 +1,101 @@
+"""Wu-Manber search against plain search, and the query against its SQL."""
+
+import random
+
+import numpy as np
+import pytest
+from llm_tables import plain_columns
+from pyspark.sql import functions as F
+
+from lexmeter.llm import decontamination as dc
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_matcher_finds_every_occurrence(seed, monkeypatch):
+    monkeypatch.setattr(dc, "LANE", 50)
+    rng = random.Random(seed)
+    data = b"".join(rng.choice([b"a", b"b", b" "]) for _ in range(3000))
+    patterns = sorted({data[s : s + rng.randrange(3, 40)] for s in rng.sample(range(2900), 40)})
+    patterns += [bytes(rng.choice(b"ab ") for _ in range(12)) for _ in range(20)]
+    patterns = sorted(set(patterns))
+    buffer = np.frombuffer(b"\0" * 8 + data, np.uint8)
+    got = sorted(dc.Matcher(patterns, list(range(len(patterns)))).search(data, buffer))
+    wanted = sorted(
+        (start, n) for n, p in enumerate(patterns) for start in range(len(data)) if data.startswith(p, start)
+    )
+    assert got == wanted and wanted
+
+
+def test_query_matches_sql(spark, same_as_sql):
+    got = dc.op8_benchmark_decontamination(spark, SF_DIR)
+    assert same_as_sql(got, dc.OP8_SQL) == 200
+    assert got.where("contaminated").count() > 0
+
+
+ITEMS = [
+    (1, "One two three four five six seven eight nine ten ELEVEN"),
+    (2, "short item"),
+    (2, "another short"),
+    (3, ""),
+    (4, None),
+    (5, " -- "),
+    (6, "one"),
+    (7, "short item"),
+    (None, "nameless words"),
+    (8, "été 文字 ü"),
+]
+TEXTS = [
+    "x one, two-three four five six seven eight nine ten! y",
+    "ONE two three four five six seven eight nine ten eleven. short--item",
+    "two three four five six seven eight nine ten eleven",
+    "short items", "a short item another short item", "nameless words here", "ÉTÉ été 文字 Ü ü", "one one", "on e", "",
+    "été 文字 ü",
+]
+
+
+def benchmark_of(spark):
+    return spark.createDataFrame(ITEMS, "item_id bigint, text string")
+
+
+def test_short_and_odd_items_match_sql(spark, folder_of, same_as_sql):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    folder = folder_of(documents=docs, benchmark=benchmark_of(spark))
+    got = dc.op8_benchmark_decontamination(spark, folder)
+    assert same_as_sql(got.where("n_hit >= 0"), dc.OP8_SQL, folder) == len(TEXTS)
+    rows = {r.doc_id: r for r in got.collect()}
+    assert (rows[0].n_words, rows[0].n_hit) == (12, 10) and rows[2].n_hit == 10
+    assert rows[3].n_hit == 0 and rows[4].n_hit == 5 and rows[5].n_items == 0 and rows[5].n_hit == 2
+
+
+def test_several_tables_give_the_same(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+
+    def found(size):
+        rows = dc.find_benchmark(docs, benchmark_of(spark), table_bytes=size).collect()
+        return sorted((r.doc_id, r.n_words, sorted(r.hits), sorted(r["items"])) for r in rows)
+
+    assert found(dc.TABLE_BYTES) == found(300)
+
+
+def test_awkward_rows(spark, awkward, empty, folder_of, same_as_sql):
+    folder = folder_of(documents=plain_columns(awkward), benchmark=benchmark_of(spark))
+    got = dc.op8_benchmark_decontamination(spark, folder)
+    assert same_as_sql(got, dc.OP8_SQL, folder) == awkward.count()
+    clean = dc.remove_contaminated(awkward, benchmark_of(spark))
+    assert clean.columns == awkward.columns and clean.count() == awkward.count()
+    assert dc.remove_contaminated(awkward, benchmark_of(spark).limit(0)).count() == awkward.count()
+    assert dc.remove_contaminated(empty, benchmark_of(spark)).count() == 0
+    hits = dc.find_benchmark(awkward.withColumn("text", F.lit("short item")), benchmark_of(spark))
+    assert {(r.n_words, tuple(r.hits)) for r in hits.collect()} == {(2, (0, 1))}
+
+
+def test_a_text_of_several_batches(monkeypatch):
+    monkeypatch.setattr(dc, "BATCH", 100)
+    windows = dc.Windows([("a b c d e f g h i j", ["1"])])
+    long = ("x " * 500 + "a b c d e f g h i j " + "y " * 500).encode()
+    for part in (dc._parts([dc.pa.scalar("q"), dc.pa.scalar(long.decode()), dc.pa.scalar(None)])):
+        for n, hits, items in windows.scan(part):
+            if n == 1010:
+                assert hits.tolist() == list(range(500, 510)) and items == {"1"}

@@ -1,0 +1,72 @@
+"""Held-out accuracy, and the parts of the fit against direct computations."""
+
+import zlib
+
+import numpy as np
+import pytest
+from llm_tables import plain_columns
+from pyspark.sql import functions as F
+
+from lexmeter.llm import quality_classifier as qc
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_held_out_scores_rank_by_label(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    rows = qc.op5_fourier_quality(spark, SF_DIR).collect()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    good, bad = ([s for s, label in held if label == x] for x in (1, 0))
+    auc = np.mean([(a > b) + (a == b) / 2 for a in good for b in bad])
+    assert auc >= 0.95 and np.mean([(s >= 0.3) == bool(label) for s, label in held]) >= 0.95
+
+
+def test_isotonic_is_the_nearest_rising_sequence():
+    random = np.random.default_rng(0)
+    for _ in range(30):
+        n = random.integers(1, 9)
+        values, weights = random.random(n), random.integers(1, 5, n).astype(float)
+        got = qc.isotonic(values, weights)
+        assert (np.diff(got) >= -1e-12).all()
+        # The solution by its min-max formula.
+        mean = lambda i, j: np.average(values[i : j + 1], weights=weights[i : j + 1])
+        slow = [max(min(mean(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)]
+        assert got == pytest.approx(slow)
+
+
+def test_fit_is_that_of_all_rows_at_once(spark):
+    random = np.random.default_rng(1)
+    stats = random.normal(0, 1, (300, qc.FEATURES))
+    mark = (stats[:, 0] * stats[:, 1] > 0).astype(int)
+    table = spark.createDataFrame(
+        [(i, s.tolist(), True) for i, s in enumerate(stats)], "id bigint, stats array<double>, learns boolean"
+    )
+    labels = spark.createDataFrame([(i, int(m)) for i, m in enumerate(mark)], "id bigint, quality int")
+    scorer = qc.fit(table.repartition(5), labels, "learns", "id", "quality")
+    waves = scorer.cosines(stats)
+    size = waves.shape[1]
+    direct = np.linalg.solve(waves.T @ waves + qc.RIDGE * 300 * np.eye(size), waves.T @ mark)
+    assert scorer.weights[-1] == pytest.approx(direct, abs=1e-6)
+    assert np.corrcoef(scorer.score(stats), mark)[0, 1] > 0.8
+    # The cosines approximate a Gaussian kernel.
+    near = stats / np.linalg.norm(stats, axis=1, keepdims=True)
+    scorer.mean, scorer.spread = np.zeros(qc.FEATURES), np.ones(qc.FEATURES)
+    waves = scorer.cosines(near)[:, 1:]
+    apart = ((near[:, None] - near[None]) ** 2).sum(2)
+    assert np.abs(waves @ waves.T - np.exp(-apart / (2 * qc.BANDWIDTH**2))).max() < 0.25
+
+
+def test_awkward_rows(spark, awkward, empty, folder_of):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (1, 0, 0), (None, 1, 1), (5, None, 0), (6, 0, 0), (99, 1, 0)], "doc_id bigint, quality int, toxic int"
+    )
+    folder = folder_of(documents=plain_columns(awkward), labels=labels)
+    rows = qc.op5_fourier_quality(spark, folder).collect()
+    assert len(rows) == awkward.count() and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (2, 3)}) == 1
+    assert not any(r.held_out for r in rows if r.doc_id is None)
+    got = qc.score_quality(awkward, labels.limit(0), F.lit(True))
+    assert {r.score for r in got.collect()} == {0.5}
+    assert qc.score_quality(empty, labels, F.lit(True)).count() == 0
