@@ -268,8 +268,8 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents, with all their columns, that hold no window of the benchmark."""
-    hits = fresh(docs.columns, "_hits")
-    found = find_benchmark(docs.withColumn(hits, F.col(text)).select(hits, F.struct("*").alias("row")), benchmark, hits)
+    held = docs.select(F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
+    found = find_benchmark(held, benchmark)
     return found.where(F.size("hits") == 0).select("row.*")
 
 
