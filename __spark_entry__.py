@@ -8,14 +8,13 @@ inputs. Results that go through a logarithm or a sum of products are rounded to
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lexmeter as lm
+from lexmeter.sources.scratch import new_folder
 
 try:
     import corpus_pipeline
@@ -49,17 +48,6 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.term_counts(_conversations(spark, sf_dir), CONV, "text")
 
 
-def _new_folder(spark: SparkSession) -> str:
-    """A new folder in the shared folder of the cluster; in local mode it may be unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="lexmeter-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared}/{uuid.uuid4().hex}"
-
-
 def _as_csv(table: DataFrame, folder: str) -> str:
     table.write.csv(
         f"{folder}/csv",
@@ -150,7 +138,15 @@ def csv_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _conversations(spark, sf_dir).select(
         "turn", F.col(CONV).alias("asin"), F.col("text").alias("reviewText")
     )
-    return lm.read_reviews(spark, _as_csv(table, _new_folder(spark)))
+    return lm.read_reviews(spark, _as_csv(table, new_folder(spark)))
+
+
+def csv_reviews_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of documents, with their line breaks, written as CSV and read in splits."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "source", F.col(DOC).alias("asin"), F.col("text").alias("reviewText")
+    )
+    return lm.read_reviews(spark, _as_csv(table, new_folder(spark)), in_splits=True)
 
 
 def csv_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,19 +156,20 @@ def csv_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").alias("price"),
         F.col("p_partkey").alias("asin"),
     )
-    return lm.clean_prices(lm.read_metadata(spark, _as_csv(table, _new_folder(spark))))
+    return lm.clean_prices(lm.read_metadata(spark, _as_csv(table, new_folder(spark))))
 
 
 def land_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as CSV, landed as typed Parquet, and read."""
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = _new_folder(spark)
-    return lm.land(spark, _as_csv(table, folder), f"{folder}/landed", dict(table.dtypes))
+    folder = new_folder(spark)
+    landed = lm.land(spark, _as_csv(table, folder), f"{folder}/landed", dict(table.dtypes))
+    return landed.table
 
 
 def write_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The TF-IDF table written as Parquet, and read."""
-    path = f"{_new_folder(spark)}/tfidf"
+    path = f"{new_folder(spark)}/tfidf"
     lm.write_tfidf(tfidf(spark, sf_dir), path)
     return spark.read.parquet(path)
 
@@ -195,6 +192,13 @@ def pearson_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(result, "pearson")
 
 
+def price_vs_length_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices whose keys repeat: every line item against the mean length of a document."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumnRenamed("l_partkey", DOC)
+    lengths = lm.avg_text_length(spark.read.parquet(f"{sf_dir}/documents.parquet"), DOC, "text")
+    return lm.price_vs_length(lm.clean_prices(items, DOC, "l_extendedprice"), lengths, DOC)
+
+
 def pearson_price_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The correlation over the largest table: price against mean quantity ordered."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -224,12 +228,14 @@ QUERIES: tuple[Query, ...] = (
     price_vs_length,
     pearson,
     csv_reviews,
+    csv_reviews_in_splits,
     csv_metadata,
     land_round_trip,
     write_tfidf,
     tfidf_documents,
     tfidf_top_documents,
     pearson_documents,
+    price_vs_length_items,
     pearson_price_quantity,
 )
 
@@ -334,22 +340,29 @@ SELECT each_word, {CONV}, docs_with_term, round(idf, 6) AS idf FROM scored""",
         "tf_top": f"""{conv}
 SELECT {CONV}, each_word, tf FROM scored {_top("num_words")}""",
         "idf_top": f"""{conv}
-SELECT each_word, {CONV}, docs_with_term, round(idf, 6) AS idf FROM scored {_top("idf")}""",
-        "tfidf_top": _tfidf_sql("conversations", CONV) + _top("tf * idf"),
+SELECT each_word, {CONV}, docs_with_term, round(idf, 6) AS idf FROM scored
+ORDER BY docs_with_term, {CONV}, each_word LIMIT 20""",
+        "tfidf_top": _tfidf_sql("conversations", CONV) + _top("round(tf * idf, 6)"),
         "avg_text_length": _mean_length("conversations", CONV, CONV),
         "clean_prices": PRICES,
         "price_vs_length": _pairs_sql(conv_length),
         "pearson": _pearson_sql(conv_length),
         "csv_reviews": f"""
 SELECT CAST({CONV} AS VARCHAR) AS asin, "text" AS "reviewText" FROM conversations""",
+        "csv_reviews_in_splits": f"""
+SELECT CAST({DOC} AS VARCHAR) AS asin, "text" AS "reviewText" FROM documents""",
         "csv_metadata": f"""
 SELECT CAST(p_partkey AS VARCHAR) AS asin, price FROM ({PRICES})""",
         "land_round_trip": "SELECT * FROM documents",
         "write_tfidf": _tfidf_sql("conversations", CONV),
         "tfidf_documents": _tfidf_sql("documents", DOC),
         "tfidf_top_documents": _tfidf_sql("documents", DOC)
-        + f" ORDER BY tf * idf DESC, {DOC}, each_word LIMIT 20",
+        + f" ORDER BY round(tf * idf, 6) DESC, {DOC}, each_word LIMIT 20",
         "pearson_documents": _pearson_sql(_mean_length("documents", DOC, "p_partkey")),
+        "price_vs_length_items": f"""
+SELECT l_partkey AS {DOC}, CAST(l_extendedprice AS FLOAT) AS price, avg_length
+FROM lineitem JOIN ({_mean_length("documents", DOC, "l_partkey")}) USING (l_partkey)
+WHERE CAST(l_extendedprice AS FLOAT) > 0""",
         "pearson_price_quantity": _pearson_sql(quantity),
     }
 

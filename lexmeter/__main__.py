@@ -25,13 +25,14 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("job", choices=["land-reviews", "land-metadata", "tfidf", "pearson"])
     parser.add_argument("source")
     parser.add_argument("second")
+    parser.add_argument("--in-splits", action="store_true", help="read RFC 4180 files in splits")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"lexmeter {args.job}").getOrCreate()
     start = time.perf_counter()
     if args.job == "land-reviews":
-        land(spark, args.source, args.second, REVIEW_COLUMNS)
+        landed = land(spark, args.source, args.second, REVIEW_COLUMNS, args.in_splits)
     elif args.job == "land-metadata":
-        land(spark, args.source, args.second, METADATA_COLUMNS)
+        landed = land(spark, args.source, args.second, METADATA_COLUMNS, args.in_splits)
     elif args.job == "tfidf":
         for name, top in write_review_tfidf(spark.read.parquet(args.source), args.second).items():
             print(f"Highest {name}:")
@@ -39,6 +40,8 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         tables = spark.read.parquet(args.source), spark.read.parquet(args.second)
         print("Pearson correlation:", price_length_correlation(*tables).first()["pearson"])
+    if args.job.startswith("land"):
+        print(f"{landed.rows} rows; values that did not fit their type: {landed.misfits}")
     print(f"{time.perf_counter() - start:.1f} seconds")
 
 

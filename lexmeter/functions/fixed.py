@@ -8,6 +8,7 @@ KEY = "asin"
 TEXT = "reviewText"
 PRICE = "price"
 TOP_ROWS = 20
+TIE_PLACES = 6  # the last bits of a logarithm depend on the machine
 REVIEW_COLUMNS = {
     "_c0": "int",
     "asin": "string",

@@ -33,10 +33,13 @@ def price_vs_length(prices: DataFrame, lengths: DataFrame, key: str = KEY) -> Da
 def pearson(pairs: DataFrame, x: str = "price", y: str = "avg_length") -> DataFrame:
     """Correlation of two columns in one pass, as one row.
 
-    NULL where it is undefined: fewer than two pairs or a constant column. The
-    built-in ``corr`` fails on a constant column in ANSI mode. Pairs with a
-    NULL are skipped first, as the three aggregates would skip different rows.
+    NULL where it is undefined: fewer than two pairs or a constant column. That is
+    told by the smallest and largest values, as merging partial sums can leave a
+    constant column some spread. Pairs with a NULL are skipped first, as the
+    aggregates would skip different rows.
     """
     complete = pairs.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
     spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return complete.agg(F.try_divide(F.covar_pop(x, y), spread).alias("pearson"))
+    r = F.when(varies, F.try_divide(F.covar_pop(x, y), spread))
+    return complete.agg(r.alias("pearson"))

@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmeter.functions.fixed import KEY, TEXT, TOP_ROWS
+from lexmeter.functions.fixed import KEY, TEXT, TIE_PLACES, TOP_ROWS
 from lexmeter.functions.words import has_word, word_array
 from lexmeter.operators.skew import join_salted
 
 WORD = "each_word"
 DOC_LENGTH = "_doc_length"
+DOC_ROWS = "_doc_rows"
 
 
 def tokenize(reviews: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
@@ -57,8 +58,9 @@ def term_counts(reviews: DataFrame, key: str = KEY, text: str = TEXT) -> DataFra
 
 
 def document_lengths(counts: DataFrame, key: str = KEY) -> DataFrame:
-    """Number of words per document."""
-    return counts.groupBy(key).agg(F.sum("num_words").alias(DOC_LENGTH))
+    """Number of words per document, and of its rows in ``counts``, its different words."""
+    rows = F.count(F.lit(1)).alias(DOC_ROWS)
+    return counts.groupBy(key).agg(F.sum("num_words").alias(DOC_LENGTH), rows)
 
 
 def _present(counts: DataFrame) -> DataFrame:
@@ -82,7 +84,7 @@ def _total_documents(counts: DataFrame, key: str) -> Column:
 
 def _with_tf(counts: DataFrame, key: str) -> DataFrame:
     lengths = document_lengths(counts, key)
-    joined = join_salted(counts, lengths, key, DOC_LENGTH, F.col(WORD))
+    joined = join_salted(counts, lengths, key, DOC_ROWS, F.col(WORD)).drop(DOC_ROWS)
     return joined.withColumn("tf", F.col("num_words") / F.col(DOC_LENGTH))
 
 
@@ -126,11 +128,15 @@ def tfidf(counts: DataFrame, key: str = KEY) -> DataFrame:
 def tf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFrame:
     """The most frequent words of single documents, by raw count, with their tf.
 
-    The count decides the order, so the few rows are picked before lengths are joined.
+    The count decides the order, so the few rows are picked first, and only the words of
+    their documents are summed up.
     """
     order = [F.desc("num_words"), F.asc(key), F.asc(WORD)]
     top = counts.orderBy(*order).limit(rows)
-    lengths = document_lengths(counts, key).withColumnRenamed(key, "_doc")
+    documents = F.broadcast(top.select(F.col(key).alias("_doc")).distinct())
+    # An inner join, as a semi join would be pushed below the counts, and split texts again.
+    theirs = counts.join(documents, F.col(key).eqNullSafe(F.col("_doc"))).drop("_doc")
+    lengths = document_lengths(theirs, key).withColumnRenamed(key, "_doc")
     return (
         lengths.join(F.broadcast(top), F.col(key).eqNullSafe(F.col("_doc")))
         .orderBy(*order)
@@ -172,6 +178,6 @@ def idf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFram
 
 
 def tfidf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFrame:
-    """The rows with the highest tf-idf."""
-    order = [F.desc("tfidf"), F.asc(key), F.asc(WORD)]
+    """The rows with the highest tf-idf; values equal to ``TIE_PLACES`` places are a tie."""
+    order = [F.desc(F.round("tfidf", TIE_PLACES)), F.asc(key), F.asc(WORD)]
     return tfidf(counts, key).orderBy(*order).limit(rows)

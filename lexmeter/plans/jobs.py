@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmeter.functions.fixed import KEY, PRICE, TEXT, TOP_ROWS
+from lexmeter.functions.fixed import KEY, PRICE, TEXT, TIE_PLACES, TOP_ROWS
 from lexmeter.operators.correlate import (
     avg_text_length,
     clean_prices,
@@ -34,7 +34,8 @@ def write_review_tfidf(
     counts = spark.read.parquet(f"{folder}/term_counts")
     write_tfidf(tfidf(counts, key), f"{folder}/tfidf")
     scores = spark.read.parquet(f"{folder}/tfidf")
-    best = scores.orderBy(F.desc("tfidf"), F.asc(key), F.asc(WORD)).limit(TOP_ROWS)
+    value = F.round("tfidf", TIE_PLACES)
+    best = scores.orderBy(F.desc(value), F.asc(key), F.asc(WORD)).limit(TOP_ROWS)
     return {"tf": tf_top(counts, key), "idf": idf_top(counts, key), "tfidf": best}
 
 

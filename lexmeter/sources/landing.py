@@ -2,30 +2,51 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexmeter.sources.csv_records import read_csv
 
 
-def land(spark: SparkSession, src_csv: str, dst: str, columns: dict[str, str]) -> DataFrame:
-    """Write the named CSV columns as Parquet with the given types; return the table.
+class Landed(NamedTuple):
+    """A landed table, its rows, and by column the values that did not fit their type."""
+
+    table: DataFrame
+    rows: int
+    misfits: dict[str, int]
+
+
+def land(
+    spark: SparkSession,
+    src_csv: str,
+    dst: str,
+    columns: dict[str, str],
+    in_splits: bool = False,
+) -> Landed:
+    """Write the named CSV columns as Parquet with the given types.
 
-    Values that do not fit their type become NULL. The rows are counted while they
-    are written and checked against the table.
+    Values that do not fit their type become NULL and are counted. Records are counted
+    as they are read, in the pass that writes, and checked against the written table.
     """
-    source = read_csv(spark, src_csv)
-    typed = source.select(
-        *(F.col(f"`{name}`").try_cast(kind).alias(name) for name, kind in columns.items())
+    source = read_csv(spark, src_csv, in_splits).select(*(f"`{name}`" for name in columns))
+    typed = {name: F.col(f"`{name}`").try_cast(kind) for name, kind in columns.items()}
+    lost = {name: F.col(f"`{name}`").isNotNull() & value.isNull() for name, value in typed.items()}
+    read = Observation()
+    counted = source.observe(
+        read,
+        F.count(F.lit(1)).alias("_records"),
+        *(F.count_if(misfit).alias(name) for name, misfit in lost.items()),
     )
-    written = Observation()
-    counted = typed.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(dst)
+    counted.select(*(value.alias(name) for name, value in typed.items())).write.mode(
+        "overwrite"
+    ).parquet(dst)
     landed = spark.read.parquet(dst)
-    found = landed.count()
-    if found != written.get["rows"]:
-        raise ValueError(f"{dst} holds {found} rows, {written.get['rows']} were written")
-    return landed
+    found, seen = landed.count(), dict(read.get)
+    if found != seen["_records"]:
+        raise ValueError(f"{dst} holds {found} rows of {seen['_records']} records")
+    return Landed(landed, found, {name: seen[name] for name in columns if seen[name]})
 
 
 def write_tfidf(result: DataFrame, path: str) -> None:

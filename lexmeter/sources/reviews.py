@@ -9,14 +9,14 @@ from lexmeter.sources.csv_records import read_csv
 
 
 def read_reviews(
-    spark: SparkSession, path: str, key: str = KEY, text: str = TEXT
+    spark: SparkSession, path: str, key: str = KEY, text: str = TEXT, in_splits: bool = False
 ) -> DataFrame:
     """Product key and review text of every review, as strings."""
-    return read_csv(spark, path).select(key, text)
+    return read_csv(spark, path, in_splits).select(key, text)
 
 
 def read_metadata(
-    spark: SparkSession, path: str, key: str = KEY, price: str = PRICE
+    spark: SparkSession, path: str, key: str = KEY, price: str = PRICE, in_splits: bool = False
 ) -> DataFrame:
     """Product key and price of every product, as strings."""
-    return read_csv(spark, path).select(key, price)
+    return read_csv(spark, path, in_splits).select(key, price)

@@ -5,25 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_texts(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Only the given columns; a table too small to fill the cores is spread over them.
+def read_texts(
+    spark: SparkSession, path: str, *columns: str, partitions: int | None = None
+) -> DataFrame:
+    """Only the given columns, as Spark splits the files.
 
-    Below ``openCostInBytes`` for each core Spark plans fewer splits than cores, and
-    splitting texts is the heavy part. Larger tables are left as they are read,
-    so what the spreading shuffles stays within that bound.
+    ``partitions`` spreads the rows over so many tasks, at the price of a shuffle of the
+    texts. It helps where a few small files hold less than a split for each core.
     """
     texts = spark.read.parquet(path).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    jvm = spark.sparkContext._jvm
-    per_core = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.openCostInBytes")
-    )
-    return texts.repartition(cores) if _size(spark, path) < cores * per_core else texts
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    """Bytes of the files under a path, which may hold wildcards."""
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = files.globStatus(pattern) or []
-    return sum(files.getContentSummary(status.getPath()).getLength() for status in found)
+    return texts.repartition(partitions) if partitions else texts

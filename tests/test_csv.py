@@ -1,6 +1,7 @@
 """The parallel CSV reader against Spark's own reader, which needs one task per file."""
 
 import csv
+import gzip
 import io
 
 import pytest
@@ -19,7 +20,7 @@ def as_csv(rows, end="\n"):
 
 
 def in_splits(spark, path):
-    return read_csv(spark, path, largest_whole=0)
+    return read_csv(spark, path, in_splits=True)
 
 
 def in_one_task(spark, path):
@@ -75,8 +76,41 @@ def test_several_files_with_a_header_each(spark, conf, tmp_path):
 def test_carriage_returns_and_blank_lines(spark, tmp_path):
     text = as_csv([["asin", "reviewText"], ["A", "x\r\ny"], ["B", "b"]], "\r\n") + "\r\n\r\n"
     (tmp_path / "a.csv").write_bytes(text.encode())
-    rows = sorted(map(tuple, in_splits(spark, str(tmp_path / "a.csv")).collect()))
-    assert rows == [("A", "x\r\ny"), ("B", "b")]
+    got, expected = both(spark, str(tmp_path / "a.csv"))
+    assert got == expected == [("A", "x\ny"), ("B", "b")]
+
+
+def test_a_line_of_spaces_is_a_row(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("asin,reviewText\nA,a\n   \nB,b\n")
+    got, expected = both(spark, str(tmp_path / "a.csv"))
+    assert got == expected and len(got) == 3
+
+
+@pytest.mark.parametrize(
+    ("text", "error"),
+    [
+        ('asin,t\nA,a 5" screen\nB,b\nC,c\nD,"d"\n', "a quote is left open"),
+        ('asin,t\nA,a 5" screen\nB,6" b\n', "a quote inside an unquoted field"),
+        ('asin,t\nA,"a" b\n', "a quote inside an unquoted field"),
+        ('asin,t\nA,"a\nB,b\n', "a quote is left open"),
+        ("asin,t\rA,a\rB,b\r", "the first line is not the whole header"),
+        ("asin,t\nA,a\rB,b\n", "a carriage return alone"),
+        ('"as\nin",t\nA,a\n', "the first line is not the whole header"),
+        ("\nasin,t\nA,a\n", "the first line is not the whole header"),
+    ],
+)
+def test_other_dialects_are_refused(spark, tmp_path, text, error):
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    with pytest.raises(Exception, match=error):
+        in_splits(spark, str(tmp_path / "a.csv")).collect()
+
+
+def test_compressed_files_are_refused(spark, tmp_path):
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as file:
+        file.write("asin,t\nA,a\n")
+    assert in_one_task(spark, str(tmp_path / "a.csv.gz")).collect() == [("A", "a")]
+    with pytest.raises(Exception, match="it is compressed"):
+        in_splits(spark, str(tmp_path / "a.csv.gz")).collect()
 
 
 def test_empty_fields(spark, tmp_path):
@@ -110,7 +144,7 @@ def test_any_table(spark, tmp_path_factory, rows, size):
     assert got == sorted((r[0], r[1] or None, r[2] or None) for r in numbered)
 
 
-def test_only_large_files_are_split(spark, tmp_path):
+def test_files_are_split_only_on_request(spark, tmp_path):
     (tmp_path / "a.csv").write_text(as_csv(ROWS))
     whole = read_csv(spark, str(tmp_path / "a.csv"))
     assert "from_csv" not in plan_of(whole)
@@ -125,15 +159,20 @@ def test_only_large_files_are_split(spark, tmp_path):
 def test_land(spark, tmp_path):
     (tmp_path / "a.csv").write_text(as_csv(ROWS))
     columns = {"asin": "string", "_c0": "int", "reviewText": "string"}
-    table = lm.land(spark, str(tmp_path / "a.csv"), str(tmp_path / "landed"), columns)
+    table, rows, misfits = lm.land(spark, str(tmp_path / "a.csv"), str(tmp_path / "landed"), columns)
+    assert (rows, misfits) == (len(ROWS) - 1, {})
     assert table.dtypes == list(columns.items())
     got = sorted((r._c0, r.asin, r.reviewText) for r in table.collect())
     assert got == [(int(a), b, c) for a, b, c in ROWS[1:]]
 
 
-def test_landed_values_that_do_not_fit_become_null(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("asin,price\nA,12.5\nB,$5\nC,\n")
-    table = lm.land(
-        spark, str(tmp_path / "a.csv"), str(tmp_path / "t"), {"asin": "string", "price": "float"}
+@pytest.mark.parametrize("splits", [False, True])
+def test_landed_values_that_do_not_fit_are_null_and_counted(spark, tmp_path, splits):
+    text = "asin,price,unixReviewTime\nA,12.5,1\nB,$5,2\nC,,bad\n"
+    (tmp_path / "a.csv").write_text(text)
+    columns = {"asin": "string", "price": "float", "unixReviewTime": "bigint"}
+    table, rows, misfits = lm.land(
+        spark, str(tmp_path / "a.csv"), str(tmp_path / "t"), columns, in_splits=splits
     )
-    assert sorted(table.collect()) == [("A", 12.5), ("B", None), ("C", None)]
+    assert sorted(table.collect()) == [("A", 12.5, 1), ("B", None, 2), ("C", None, None)]
+    assert (rows, misfits) == (3, {"price": 1, "unixReviewTime": 1})

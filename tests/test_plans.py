@@ -84,10 +84,15 @@ def test_corpus_size_does_not_split_texts(spark):
     assert "split(" not in plan and "explode" not in plan
 
 
-def test_small_tables_are_spread_and_large_ones_left(spark, conf):
-    path = f"{SF_DIR}/documents.parquet"
-    assert "RoundRobin" in plan_of(lm.read_texts(spark, path, "text"))
-    assert "RoundRobin" in plan_of(lm.read_texts(spark, f"{SF_DIR}/doc*.parquet", "text"))
-    conf("spark.sql.files.openCostInBytes", "1k")
-    plan = plan_of(lm.read_texts(spark, path, "text").select(F.length("text")))
-    assert "Exchange" not in plan
+def test_texts_are_spread_on_request_only(spark):
+    for folder in (SF_DIR, "/root/testdata/sf0.1"):
+        texts = lm.read_texts(spark, f"{folder}/documents.parquet", "text")
+        assert "Exchange" not in plan_of(texts.select(F.length("text")))
+    spread = lm.read_texts(spark, f"{SF_DIR}/doc*.parquet", "text", partitions=4)
+    assert "RoundRobinPartitioning(4)" in plan_of(spread)
+
+
+def test_tf_top_sums_only_the_documents_it_lists(counts):
+    plan = plan_of(lm.tf_top(counts, "doc_id"))
+    below = plan[plan.index("partial_sum(num_words") :]
+    assert "BroadcastHashJoin" in below[: below.index("partial_count")]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import lexmeter as lm
 from lexmeter.operators.skew import hot_keys, join_heavy_light, join_salted, with_pieces
-from lexmeter.operators.text import DOC_LENGTH, WORD, document_lengths
+from lexmeter.operators.text import DOC_ROWS, WORD, document_lengths
 
 
 @pytest.fixture(params=["broadcast", "shuffle"])
@@ -41,7 +41,7 @@ def test_tfidf_with_a_hot_document_and_a_hot_word(spark, joins):
     for key, values in expected.items():
         assert got[key] == pytest.approx(values, rel=1e-12)
     top = [(r.asin, r.each_word) for r in lm.tfidf_top(lm.term_counts(reviews)).collect()]
-    order = sorted(expected, key=lambda k: (-got[k][3], *k))
+    order = sorted(expected, key=lambda k: (-round(got[k][3], 6), *k))
     assert top == order[:20]
 
 
@@ -100,7 +100,7 @@ def test_rows_of_a_hot_key_are_spread(spark, conf, joins):
     rows = spark.createDataFrame(skewed_reviews(), REVIEWS)
     counts = lm.term_counts(rows)
     lengths = document_lengths(counts)
-    joined = join_salted(counts, lengths, "asin", DOC_LENGTH, F.col(WORD))
+    joined = join_salted(counts, lengths, "asin", DOC_ROWS, F.col(WORD))
     if joins == "broadcast":
         assert joined.count() == counts.count()
         return
@@ -112,7 +112,31 @@ def test_rows_of_a_hot_key_are_spread(spark, conf, joins):
         .collect()
     ]
     hot_words = counts.where("asin = 'hot'").count()
-    assert sum(sizes) == hot_words and max(sizes) < 0.6 * hot_words and len(sizes) > 2
+    [(pieces,)] = with_pieces(lengths, DOC_ROWS).where("asin = 'hot'").select("_pieces").collect()
+    # The weight is the number of rows, so a piece is at most an average partition.
+    assert hot_words / pieces <= counts.count() / 8 < hot_words
+    assert sum(sizes) == hot_words and max(sizes) < 0.6 * hot_words and len(sizes) == pieces
+
+
+def test_repeats_of_a_word_do_not_hide_a_hot_document(spark, conf):
+    """Weights are rows: 20,000 words of one document beside one word 2,000,000 times."""
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        conf(name, "-1")
+    conf("spark.sql.shuffle.partitions", "64")
+    conf("spark.sql.adaptive.enabled", "false")
+    words = spark.range(40_000).selectExpr(
+        "if(id < 20000, 'hot', concat('d', id % 5000)) AS asin",
+        "concat('w', id) AS each_word",
+        "1L AS num_words",
+    )
+    spam = spark.sql("SELECT 'spam' AS asin, 'w' AS each_word, 2000000L AS num_words")
+    counts = words.unionByName(spam)
+    lengths = document_lengths(counts)
+    assert [r._hot for r in hot_keys(with_pieces(lengths, DOC_ROWS), "asin").collect()] == ["hot"]
+    joined = join_salted(counts, lengths, "asin", DOC_ROWS, F.col(WORD))
+    sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in sizes) == 40_001
+    assert max(r["count"] for r in sizes) < 4 * 40_001 / 64
 
 
 def test_copies_of_a_hot_product_stay_where_they_are_read(spark, joins):
