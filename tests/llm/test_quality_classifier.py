@@ -49,7 +49,8 @@ def test_fit_is_that_of_all_rows_at_once(spark):
     size = waves.shape[1]
     direct = np.linalg.solve(waves.T @ waves + qc.RIDGE * 300 * np.eye(size), waves.T @ mark)
     assert scorer.weights[-1] == pytest.approx(direct, abs=1e-6)
-    assert np.corrcoef(scorer.score(stats), mark)[0, 1] > 0.8
+    # No line tells these marks apart: they are signs of a product.
+    assert np.corrcoef(scorer.score(stats), mark)[0, 1] > 0.6 > abs(np.corrcoef(stats[:, 0], mark)[0, 1]) * 4
     # The cosines approximate a Gaussian kernel.
     near = stats / np.linalg.norm(stats, axis=1, keepdims=True)
     scorer.mean, scorer.spread = np.zeros(qc.FEATURES), np.ones(qc.FEATURES)
