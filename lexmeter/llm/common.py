@@ -7,8 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmeter.sources.scratch import written
-
 # Fixed values.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -25,11 +23,6 @@ def fresh(columns: Iterable[str], name: str) -> str:
     return name
 
 
-def without(table: DataFrame, *names: str) -> DataFrame:
-    """Drop columns an operator is about to add, so that its own take their place."""
-    return table.drop(*names)
-
-
 def word_list(text: Column) -> Column:
     """Words of a text as an array; NULL and blank texts have none."""
     bare = F.btrim(text, F.lit(SPACES))
@@ -105,21 +98,3 @@ def running_totals(
     joined = within.join(starts, [group, slot])
     added = [c for c in starts.columns if c not in (group, slot, "_start")]
     return joined.select(*rows.columns, (F.col("_start") + F.col("_within")).alias(before), *added)
-
-
-__all__ = [
-    "LOWER",
-    "SPACES",
-    "SPACE_RUN",
-    "UPPER",
-    "WORD",
-    "fresh",
-    "group_key",
-    "hex_slot",
-    "random_key",
-    "running_totals",
-    "without",
-    "word_count",
-    "word_list",
-    "written",
-]
