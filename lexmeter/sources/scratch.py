@@ -17,7 +17,9 @@ def new_folder(spark: SparkSession) -> str:
     shared = shared or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
     folder = f"{shared}/lexmeter-{uuid.uuid4().hex}"
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
     return folder
 
 
