@@ -20,6 +20,7 @@ from lexmeter.sources.scratch import new_folder, written
 
 # Fixed values.
 SYMBOL = r"[^#*$%&|<>]+"
+ORDINARY = r"[\p{L}\p{N}\x20\x09-\x0D.,;:'\"()@+/?-]+"
 BASE_WORDS = 10
 BASE_REPEATED = 20
 REPEAT = 5
@@ -39,8 +40,9 @@ STATISTICS = (
     "n_lines",
     "n_chars",
     "n_upper",
-    "n_alnum",
+    "n_odd",
     "n_shouts",
+    "n_stutters",
 )
 
 
@@ -68,15 +70,16 @@ class Rule:
 RULES = (
     Rule("symbols", "n_symbols", "n_words", 0.05, 0.2),
     Rule("shouts", "n_shouts", "n_words", 0.05, 0.2),
-    Rule("capitals", "n_upper", "n_alnum", 0.15, 0.4),
-    Rule("other_signs", "n_signs", "n_chars", 0.05, 0.08),
+    Rule("capitals", "n_upper", "word_chars", 0.15, 0.4),
+    Rule("odd_signs", "n_odd", "n_chars", 0.01, 0.05),
     Rule("long_words", "word_chars", "n_words", 10, 16),
     Rule("repeated_lines", "n_dup_lines", "n_lines", 0.1, 0.4),
-    Rule("repeated_words", "n_repeat_words", "n_words", 0.05, 0.15),
+    Rule("repeated_words", "n_repeat_words", "n_words", 0.05, 0.2),
+    Rule("stutters", "n_stutters", "n_words", 0.05, 0.25),
 )
 
 
-def _letters_left(text: Column, drop: str) -> Column:
+def _without(text: Column, drop: str) -> Column:
     return F.length(F.regexp_replace(text, drop, ""))
 
 
@@ -114,14 +117,15 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     counts = {
         "n_words": F.size(words),
         "word_chars": F.length(F.array_join(words, "")),
-        "n_symbols": _letters_left(value, SYMBOL),
+        "n_symbols": _without(value, SYMBOL),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": repeated,
         "n_lines": F.size(lines),
         "n_chars": F.length(value),
-        "n_upper": _letters_left(value, r"[^\p{Lu}]+"),
-        "n_alnum": _letters_left(value, r"[^\p{L}\p{N}]+"),
+        "n_upper": _without(value, r"[^\p{Lu}]+"),
+        "n_odd": _without(value, ORDINARY),
         "n_shouts": F.length(value) - F.length(F.replace(value, F.lit("!"), F.lit(""))),
+        "n_stutters": F.size(F.filter(words, lambda word, i: word == F.get(words, i + 1))),
     }
     stats = F.struct(*(column.cast("long").alias(name) for name, column in counts.items()))
     return staged.withColumn("stats", stats).drop(*names)
@@ -217,7 +221,6 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     row = docs.select(text, F.struct(F.lit(0).alias("_"), *kept).alias("_row"))
     measured = written(statistics(row, text).select("_row", "stats"), f"{folder}/stats")
     wide = measured.select("_row", "stats", "stats.*")
-    wide = wide.withColumn("n_signs", F.col("n_chars") - F.col("n_alnum") - F.col("n_words"))
     votes = wide.select(
         "_row",
         "stats",
