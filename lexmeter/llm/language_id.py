@@ -31,6 +31,8 @@ LANGUAGES = 256
 CELLS = 2**22
 #: Rejected beyond this share of the way from a language's texts to the same letters shuffled.
 BEYOND = 0.6
+#: Bits a character may cost at most, so that a quotation does not outweigh the text around it.
+MOST_BITS = 6.0
 UNKNOWN = "und"
 
 _PART = 2**19
@@ -93,6 +95,7 @@ class Model:
     unseen: np.ndarray
     typical: np.ndarray
     limit: np.ndarray
+    most_bits: float = MOST_BITS
 
     def _logs(self, order: int, hashes: list[np.ndarray], at: np.ndarray) -> np.ndarray:
         """Natural log-probability of the character at each position, a column per language."""
@@ -117,7 +120,7 @@ class Model:
         """Sum of log-probabilities, number of characters and last context for each text."""
         codes, starts, context = _plain(texts, contexts)
         at = np.flatnonzero(~context)
-        logs = self._logs(ORDER, _hashes(codes), at)
+        logs = np.maximum(self._logs(ORDER, _hashes(codes), at), -self.most_bits * np.log(2))
         totals = np.concatenate([np.zeros((1, len(self.languages))), np.cumsum(logs, 0, np.float64)])
         bounds = np.searchsorted(at, np.append(starts, len(codes)))
         ends = np.append(starts[1:], len(codes))

@@ -58,6 +58,7 @@ def test_model_is_interpolated_kneser_ney():
     kinds = sorted(set().union(*counts.values()))
     matrix = np.array([[counts["x"][g], counts["y"][g]] for g in kinds])
     model = language_id.build_model(["x", "y"], kinds, matrix)
+    model.most_bits = math.inf
     letters = len({g[-1] for g in kinds}) + 1
     slow = [Slow(grams_of(texts[lang]), letters) for lang in ("x", "y")]
     for text in ("banana zoo", "q", "ab", "zebra quilt  abra", "Bazaar, band!"):
@@ -127,3 +128,18 @@ def test_labels_decide_the_names(spark):
     table = spark.createDataFrame([r for rows in words.values() for r in rows], "doc_id bigint, text string, lang string")
     model = language_id.learn(table)
     assert all(r.language.language == r.lang for r in language_id.identify(table, model).collect())
+
+
+def test_a_quotation_does_not_outweigh_the_text(documents):
+    """A third of a text in another language leaves it in its own."""
+    model = language_id.learn(documents)
+    texts = {}
+    for r in documents.collect():
+        texts.setdefault(r.lang, []).append(r.text)
+    own = {lang: " ".join(sorted(parts, key=len)[-3:]) for lang, parts in texts.items()}
+    size = min(map(len, own.values()))
+    for lang in own:
+        for other in own.keys() - {lang}:
+            mixed = own[lang][:size] + own[other][: size // 2]
+            sums, _ = model.measure([mixed])
+            assert model.languages[sums[0].argmax()] == lang
