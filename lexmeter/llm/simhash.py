@@ -15,7 +15,7 @@ differ. Two members are within four bits just if they share such a value.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -231,9 +231,13 @@ def near_duplicates(
     return joined.select(F.col("id").alias(id), *keep, "print", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", grouped: Callable[..., DataFrame] = near_duplicates
+) -> DataFrame:
     """One row of each component, with all its columns: the one with its smallest id.
 
+    ``grouped`` finds the components: by fingerprints, or ``near_copies`` by whole sets.
+
     Rows that repeat an id and a text count once. Of rows with the smallest id but
     other texts the one with the smallest hash of its text stays; a NULL id comes last.
     """
@@ -244,7 +248,7 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     named = keyed.select(
         F.col(id).alias("id"), F.col(text).alias("text"), F.col(key).alias("key"), F.col(hashed).alias("hash")
     )
-    groups = near_duplicates(named, "id", "text", keep=("key", "hash"))
+    groups = grouped(named, "id", "text", keep=("key", "hash"))
     first = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "key")
     stays = groups.groupBy("root").agg(F.min(first).alias("stays"))
     stays = stays.select(F.col("stays.key").alias(key), F.col("stays.hash").alias(hashed))
