@@ -1,9 +1,10 @@
 """Language identification: interpolated Kneser-Ney models of characters.
 
 Each language has a model of four characters with absolute discounts, continuation counts
-below the highest order, and interpolation down to a uniform alphabet. The models share
-one sorted array of n-gram hashes for each order, with a row of log-probabilities, one for
-each language. A text goes to the language with the lowest cross-entropy per character. It is
+below the highest order, and interpolation down to a uniform alphabet. All n-grams of the
+sampled texts are kept, as sorted arrays of hashes for each order. A few languages share
+their arrays, with a row of log-probabilities, one for each; where n-grams are many, each
+language has arrays of its own, so none pays for another's n-grams. A text goes to the language with the lowest cross-entropy per character. It is
 rejected if that lies too far from texts of this language that the model has not seen,
 towards the same texts with their letters shuffled.
 """
@@ -17,6 +18,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ ORDER = 4
 #: Texts a language is learned from, about, and the share of them kept for calibration.
 TEXTS = 1000
 CALIBRATION = 5
-#: Bounds of the model: the most frequent languages; n-grams times languages.
-LANGUAGES = 256
+#: Languages that share arrays, unless all have more n-grams than this in sum.
+BLOCK = 4
 CELLS = 2**22
 #: Rejected beyond this share of the way from a language's texts to the same letters shuffled.
 BEYOND = 0.6
@@ -84,29 +86,25 @@ def _hashes(codes: np.ndarray) -> list[np.ndarray]:
 
 
 @dataclass
-class Model:
+class Tables:
     """Sorted hashes with log-probabilities, and with log-weights of the lower order."""
 
-    languages: list[str]
     keys: list[np.ndarray]
     logs: list[np.ndarray]
     history_keys: list[np.ndarray]
     history_logs: list[np.ndarray]
     unseen: np.ndarray
-    typical: np.ndarray
-    limit: np.ndarray
-    most_bits: float = MOST_BITS
 
-    def _logs(self, order: int, hashes: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    def find(self, order: int, hashes: list[np.ndarray], at: np.ndarray) -> np.ndarray:
         """Natural log-probability of the character at each position, a column per language."""
-        if order == 0:
+        if order == 0 or not len(self.keys[order]):
             return np.repeat(self.unseen[None], len(at), 0)
         wanted = hashes[order][at]
         place = np.minimum(np.searchsorted(self.keys[order], wanted), len(self.keys[order]) - 1)
         logs = self.logs[order][place]
         missing = np.flatnonzero(self.keys[order][place] != wanted)
         if len(missing):
-            lower = self._logs(order - 1, hashes, at[missing])
+            lower = self.find(order - 1, hashes, at[missing])
             if order > 1:
                 keys = self.history_keys[order]
                 history = hashes[order - 1][at[missing] - 1]
@@ -116,16 +114,30 @@ class Model:
             logs[missing] = lower
         return logs
 
+
+@dataclass
+class Model:
+    """The tables of all languages, in order, and the bounds of their texts' cross-entropy."""
+
+    languages: list[str]
+    blocks: list[Tables]
+    typical: np.ndarray
+    limit: np.ndarray
+    most_bits: float = MOST_BITS
+
     def _sums(self, texts: list[str], contexts: list[np.ndarray]):
         """Sum of log-probabilities, number of characters and last context for each text."""
         codes, starts, context = _plain(texts, contexts)
         at = np.flatnonzero(~context)
-        logs = np.maximum(self._logs(ORDER, _hashes(codes), at), -self.most_bits * np.log(2))
-        totals = np.concatenate([np.zeros((1, len(self.languages))), np.cumsum(logs, 0, np.float64)])
         bounds = np.searchsorted(at, np.append(starts, len(codes)))
+        hashes, sums = _hashes(codes), []
+        for block in self.blocks:
+            logs = np.maximum(block.find(ORDER, hashes, at), -self.most_bits * np.log(2))
+            totals = np.concatenate([np.zeros((1, logs.shape[1])), np.cumsum(logs, 0, np.float64)])
+            sums.append(totals[bounds[1:]] - totals[bounds[:-1]])
         ends = np.append(starts[1:], len(codes))
         tails = [codes[end - ORDER + 1 : end] for end in ends]
-        return totals[bounds[1:]] - totals[bounds[:-1]], np.diff(bounds), tails
+        return np.concatenate(sums, 1), np.diff(bounds), tails
 
     def measure(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Sum of log-probabilities by language, and number of characters, of whole texts."""
@@ -158,6 +170,18 @@ def _excess(entropy, typical, count):
 
 def build_model(languages: list[str], grams: list[str], counts: np.ndarray) -> Model:
     """Kneser-Ney from counts of n-grams of the highest order, a column per language."""
+    tables = _tables(grams, counts, len({gram[-1] for gram in grams}) + 1)
+    return _model(languages, [tables])
+
+
+def _model(languages: list[str], blocks: list[Tables]) -> Model:
+    width = len(languages)
+    return Model(languages, blocks, np.zeros(width), np.full(width, np.inf))
+
+
+def _tables(grams: list[str], counts: np.ndarray, letters: int) -> Tables:
+    """Tables of some languages; the uniform alphabet has ``letters`` characters."""
+    width = counts.shape[1]
     codes = np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").reshape(-1, ORDER).astype(np.uint64)
     codes = codes + np.uint64(1)
     tables = [None] * (ORDER + 1)
@@ -170,12 +194,12 @@ def build_model(languages: list[str], grams: list[str], counts: np.ndarray) -> M
         if order > 1:
             suffix = (codes[:, 1:] * powers[1:]).sum(1, dtype=np.uint64)
             _, first, inverse = np.unique(suffix, return_index=True, return_inverse=True)
-            types = np.zeros((len(first), len(languages)), np.int64)
+            types = np.zeros((len(first), width), np.int64)
             np.add.at(types, inverse, counts > 0)
             codes, counts = codes[first][:, 1:], types
-    letters = len(tables[1][0]) + 1
     keys, logs, history_keys, history_logs = ([None] * (ORDER + 1) for _ in range(4))
-    uniform = np.full(len(languages), 1 / letters)
+    uniform = np.full(width, 1 / letters)
+    unseen = np.log(uniform)
     for order in range(1, ORDER + 1):
         keys[order], codes, counts = tables[order]
         powers = _POWERS[: order - 1][::-1]
@@ -183,24 +207,21 @@ def build_model(languages: list[str], grams: list[str], counts: np.ndarray) -> M
         discount = np.clip(ones / np.maximum(ones + 2 * twos, 1), 0.1, 0.9)
         history = (codes[:, :-1] * powers).sum(1, dtype=np.uint64)
         history_keys[order], inverse = np.unique(history, return_inverse=True)
-        total, kinds = (np.zeros((len(history_keys[order]), len(languages))) for _ in range(2))
+        total, kinds = (np.zeros((len(history_keys[order]), width)) for _ in range(2))
         np.add.at(total, inverse, counts)
         np.add.at(kinds, inverse, counts > 0)
         seen = total > 0
         weight = np.where(seen, discount * kinds / np.where(seen, total, 1), 1.0)
         if order == 1:
             lower = np.repeat(uniform[None], len(codes), 0)
-            unseen = np.log(weight[0] * uniform)
+            unseen = np.log(weight[0] * uniform) if len(weight) else unseen
         else:
             suffix = (codes[:, 1:] * powers).sum(1, dtype=np.uint64)
             lower = np.exp(logs[order - 1][np.searchsorted(keys[order - 1], suffix)])
         own = np.maximum(counts - discount, 0) / np.where(seen, total, 1)[inverse]
         logs[order] = np.log(own + weight[inverse] * lower)
         history_logs[order] = np.log(weight)
-    width = len(languages)
-    return Model(
-        languages, keys, logs, history_keys, history_logs, unseen, np.zeros(width), np.full(width, np.inf)
-    )
+    return Tables(keys, logs, history_keys, history_logs, unseen)
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,35 +252,40 @@ def learn(
     """A model from texts with a language and an id; None if there is none.
 
     It is fitted on a sample of about ``texts`` texts for each language, picked by a hash of
-    the id, of which every fifth calibrates the rejection. Only the ``LANGUAGES`` most
-    frequent languages and the ``CELLS`` / languages most frequent n-grams are kept.
+    the id, of which every fifth calibrates the rejection. All languages and all n-grams of
+    the sample are kept.
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(id).isNotNull())
     labelled = labelled.select(F.col(lang).alias("language"), F.col(text).alias("text"), F.col(id).alias("id"))
     sizes = labelled.groupBy("language").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = sizes.orderBy(F.desc("rows"), "language").limit(LANGUAGES).collect()
-    if not sizes:
+    languages = sorted(row.language for row in sizes.select("language").collect())
+    if not languages:
         return None
-    shares = {row.language: min(1.0, texts / row.rows) for row in sizes}
-    languages = sorted(shares)
-    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
-    sample = labelled.where(_share(F.col("id"), 1) < share[F.col("language")])
+    share = sizes.select("language", F.least(F.lit(1.0), texts / F.col("rows")).alias("share"))
+    sample = labelled.join(F.broadcast(share), "language").where(_share(F.col("id"), 1) < F.col("share"))
     held_back = _share(F.col("id"), 2) < 1 / CALIBRATION
     grams = sample.where(~held_back).select("language", "text").mapInArrow(
         _count_grams, "language string, gram string, number bigint"
     )
     grams = grams.groupBy("language", "gram").agg(F.sum("number").alias("number"))
-    grams = grams.orderBy(F.desc("number"), "gram", "language").limit(CELLS // len(languages))
-    counted = grams.toArrow().to_pydict()
-    if not counted["gram"]:
+    counted = grams.toArrow()
+    if not counted.num_rows:
         return None
-    kinds = sorted(set(counted["gram"]))
-    row = {gram: i for i, gram in enumerate(kinds)}
-    column = {language: i for i, language in enumerate(languages)}
-    counts = np.zeros((len(kinds), len(languages)), np.int64)
-    for language, gram, number in zip(*(counted[c] for c in ("language", "gram", "number")), strict=True):
-        counts[row[gram], column[language]] = number
-    model = build_model(languages, kinds, counts)
+    letters = len(pc.unique(pc.utf8_slice_codeunits(counted["gram"], ORDER - 1))) + 1
+    column = pc.index_in(counted["language"], pa.array(languages, pa.string())).to_numpy()
+    order = np.argsort(column, kind="stable")
+    ends = np.searchsorted(column[order], np.arange(len(languages) + 1))
+    width = BLOCK if BLOCK * counted.num_rows <= CELLS else 1
+    blocks = []
+    for first in range(0, len(languages), width):
+        number = min(width, len(languages) - first)
+        own = order[ends[first] : ends[first + number]]
+        rows = counted.take(pa.array(own))
+        kinds, place = np.unique(np.array(rows["gram"].to_pylist(), f"<U{ORDER}"), return_inverse=True)
+        counts = np.zeros((len(kinds), number), np.int64)
+        counts[place, column[own] - first] = rows["number"].to_numpy()
+        blocks.append(_tables(kinds.tolist(), counts, letters))
+    model = _model(languages, blocks)
     _calibrate(model, sample.where(held_back).select("language", "text"))
     return model
 
@@ -274,7 +300,8 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
             names, texts = (column.to_pylist() for column in batch.columns)
             texts = [text or "" for text in texts]
             sums, counts = shared.value.measure(texts)
-            own = [shared.value.languages.index(name) for name in names]
+            place = {name: i for i, name in enumerate(shared.value.languages)}
+            own = [place[name] for name in names]
             mixed = ["".join(random.permutation(list(text))) for text in texts]
             mixed_sums, mixed_counts = shared.value.measure(mixed)
             columns = (own, -sums[np.arange(len(own)), own], counts, -mixed_sums.max(1), mixed_counts)
@@ -297,9 +324,10 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
         *(F.sum(name).alias(name) for name in schema.names[1:])
     )
     found = sums.collect()
+    by_language = {row.own: [row] for row in found}
     for i in range(len(model.languages)):
         # A language without texts to calibrate on takes the sums of all.
-        mine = [row for row in found if row.own == i] or found
+        mine = by_language.get(i, found)
         if mine:
             typical = sum(r.loss for r in mine) / sum(r.letters for r in mine)
             mixed = sum(r.mixed_loss for r in mine) / sum(r.mixed_letters for r in mine)

@@ -143,3 +143,31 @@ def test_a_quotation_does_not_outweigh_the_text(documents):
             mixed = own[lang][:size] + own[other][: size // 2]
             sums, _ = model.measure([mixed])
             assert model.languages[sums[0].argmax()] == lang
+
+
+@pytest.mark.parametrize("cells", [2**22, 1])
+def test_every_language_and_every_gram_is_learned(spark, monkeypatch, cells):
+    """More languages than 256, and more n-grams than a share of 4,194,304 cells for each."""
+    monkeypatch.setattr(language_id, "CELLS", cells)
+    rng = random.Random(4)
+    rows, letters = [], [chr(0x4E00 + i) for i in range(2000)]
+    for lang in range(270):
+        own = rng.sample(letters, 12)
+        rows += [(len(rows) + i, "".join(rng.choice(own) for _ in range(40)), f"l{lang:03}") for i in range(3)]
+    schema = "doc_id bigint, text string, lang string"
+    table = spark.createDataFrame(rows, schema)
+    model = language_id.learn(table)
+    assert len(model.languages) == 270
+    fitted = table.where(language_id._share(table.doc_id, 2) >= 1 / language_id.CALIBRATION).collect()
+    grams = defaultdict(list)
+    for r in fitted:
+        grams[r.lang] += grams_of(r.text)
+    letters = len({gram[-1] for own in grams.values() for gram in own}) + 1
+    model.most_bits = math.inf
+    for place, lang in list(enumerate(model.languages))[::30]:
+        slow = Slow(grams[lang], letters)
+        for text in (rows[3 * place][1], rows[0][1]):
+            [sums], _ = model.measure([text])
+            assert sums[place] == pytest.approx(sum(math.log(slow.probability(g)) for g in grams_of(text)), rel=1e-9)
+    names = {r.doc_id: r.language.language for r in language_id.identify(spark.createDataFrame(fitted, schema), model).collect()}
+    assert all(names[r.doc_id] == r.lang for r in fitted)
