@@ -1,6 +1,7 @@
 """Licence scans: a trained classifier of paragraphs, confirmed by templates.
 
-A paragraph is a line of a text. Its words and word pairs are sparse features of a logistic
+A paragraph is a line of a text, or a run of lines without a blank one between them, joined, as
+licences are often wrapped; comment markers are no words. Its words and word pairs are sparse features of a logistic
 regression over licence families and one class for all else. It learns the families from
 templates with words left out, put in and swapped, and the other class from paragraphs
 sampled from the corpus. A share of both is kept to calibrate a probability below which
@@ -10,6 +11,7 @@ one of the family's templates.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -84,6 +86,10 @@ _RESULT = (
 )
 
 
+#: Comment markers of letters; all others are no words.
+_MARKER = re.compile(rb"^\s*(?:rem|dnl)\s", re.IGNORECASE)
+
+
 def words(paragraph: bytes) -> list[bytes]:
     """Words by the rule of the search: runs of digits, letters and all beyond ASCII."""
     return paragraph.translate(TABLE).split()
@@ -143,18 +149,68 @@ class Classifier:
         gains, needed = self.limits()
         for text in texts:
             numbers, paragraphs = [], []
-            for number, line in enumerate(text.split(b"\n")):
-                own = words(line)
+            lines = [words(_MARKER.sub(b"", line)) for line in text.split(b"\n")]
+            for number, own in enumerate(lines):
                 if sum(gains[f] for f in self.features(own)) >= needed:
                     numbers.append(number)
                     paragraphs.append(own)
             chances = self.probabilities(paragraphs) if paragraphs else np.empty((0, NONE + 1))
             best = chances.argmax(1).tolist()
-            yield [
+            found = [
                 (numbers[i], FAMILIES[f], float(chances[i, f]), self.confirmed(f, paragraphs[i]))
                 for i, f in enumerate(best)
                 if f != NONE and chances[i, f] >= self.least
             ]
+            yield self._with_wrapped(lines, found)
+
+    def _with_wrapped(self, lines: list[list[bytes]], found: list[tuple]) -> list[tuple]:
+        """Findings of single lines, and of licences wrapped over several, at their first line.
+
+        Unconfirmed lines of the same family are part of the wrapped licence.
+        """
+        start = 0
+        for end in range(len(lines) + 1):
+            if end < len(lines) and lines[end]:
+                continue
+            if end - start > 1:
+                for first, last, family, chance in self._wrapped(lines[start:end]):
+                    name = FAMILIES[family]
+                    inside = [f for f in found if f[1] == name and start + first <= f[0] <= start + last]
+                    if not any(f[3] for f in inside):
+                        found = [f for f in found if f not in inside]
+                        found.append((start + first, name, chance, True))
+            start = end + 1
+        return sorted(found, key=lambda f: (f[0], f[1]))
+
+    def _wrapped(self, lines: list[list[bytes]]) -> Iterator[tuple[int, int, int, float]]:
+        """First and last line, family and probability of templates that cross line ends."""
+        joined = [word for line in lines for word in line]
+        line_of = [i for i, line in enumerate(lines) for _ in line]
+        pairs = list(zip(joined, joined[1:], strict=False))
+        there = self.pairs.keys() & pairs
+        for family, templates in self.templates.items():
+            for template in templates:
+                own = set(zip(template, template[1:], strict=False))
+                least = FOUND * len(own)
+                if len(own & there) < least:
+                    continue
+                # The template's pairs within a stretch little longer than the template.
+                places, low, free = [i for i, p in enumerate(pairs) if p in own], 0, 0
+                longest = len(template) * 5 // 4 + 4
+                for high, place in enumerate(places):
+                    while place - places[low] >= longest:
+                        low += 1
+                    within = places[low : high + 1]
+                    held = len({pairs[i] for i in within})
+                    more = high + 1 < len(places) and places[high + 1] - places[low] < longest
+                    if held < least or places[low] < free or more:
+                        continue
+                    stretch = joined[places[low] : place + 2]
+                    first, last = line_of[places[low]], line_of[place + 1]
+                    [chances] = self.probabilities([stretch])
+                    if first < last and chances.argmax() == family and chances[family] >= self.least:
+                        yield first, last, family, float(chances[family])
+                        free = place + 2
 
 
 def _vary(template: list[bytes], filler: list[bytes], random: np.random.Generator) -> list[bytes]:

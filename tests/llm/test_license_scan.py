@@ -66,3 +66,29 @@ def test_awkward_rows(spark, awkward, empty, folder_of):
     got = ls.scan_licenses(awkward.withColumn("text", F.lit("x\nReleased under the MIT License.")), model)
     assert {(r.licenses[0].paragraph, r.licenses[0].family) for r in got.collect()} == {(1, "MIT")}
     assert ls.scan_licenses(empty, model).count() == 0
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute copies of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+@pytest.mark.parametrize("marker", ["", "# ", " * ", "// ", "dnl ", "REM "])
+@pytest.mark.parametrize(("family", "text"), [("MIT", MIT), ("BSD", BSD), ("GPL", GPL)])
+def test_wrapped_licences_are_confirmed(model, marker, family, text):
+    lines = ["Copyright 2020 Acme", "", *text.split("\n"), "", "import os"]
+    [found] = model.scan(["\r\n".join(marker + line for line in lines).encode()])
+    assert [(f[0], f[1]) for f in found if f[3]] == [(2, family)]
+
+
+def test_blank_lines_keep_paragraphs_apart(model):
+    [found] = model.scan([MIT.replace("\n", "\n\n").encode()])
+    assert not [f for f in found if f[3]]
