@@ -17,6 +17,8 @@ from lexmeter.llm import (
     secret_scan,
     sharding,
     simhash,
+    token_alignment,
+    vector_codes,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,8 @@ QUERIES: tuple[Query, ...] = (
     decontamination.op8_benchmark_decontamination,
     license_scan.op9_license_scan,
     secret_scan.op10_secret_ledger,
+    vector_codes.op12_ball_vector_codes,
+    token_alignment.op13_token_alignment,
 )
 
 SQL: dict[str, str] = {
@@ -39,6 +43,7 @@ SQL: dict[str, str] = {
     "op10_secret_ledger": secret_scan.OP10_SQL,
     "op2_curriculum_mix": mixing.OP2_SQL,
     "op8_benchmark_decontamination": decontamination.OP8_SQL,
+    "op12_ball_vector_codes": vector_codes.OP12_SQL,
 }
 
 
