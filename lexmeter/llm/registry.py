@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexmeter.llm import (
     decontamination,
+    jaccard_join,
     language_id,
     license_scan,
     line_dedup,
@@ -34,6 +35,7 @@ QUERIES: tuple[Query, ...] = (
     decontamination.op8_benchmark_decontamination,
     license_scan.op9_license_scan,
     secret_scan.op10_secret_ledger,
+    jaccard_join.op11_jaccard_join,
     vector_codes.op12_ball_vector_codes,
     token_alignment.op13_token_alignment,
 )
@@ -43,6 +45,7 @@ SQL: dict[str, str] = {
     "op10_secret_ledger": secret_scan.OP10_SQL,
     "op2_curriculum_mix": mixing.OP2_SQL,
     "op8_benchmark_decontamination": decontamination.OP8_SQL,
+    "op11_jaccard_join": jaccard_join.OP11_SQL,
     "op12_ball_vector_codes": vector_codes.OP12_SQL,
 }
 
