@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmeter.llm import decontamination, language_id, mixing, near_copies, sharding, simhash
+from lexmeter.llm import decontamination, language_id, mixing, sharding, simhash
 from lexmeter.sources.scratch import new_folder, written
 
 
@@ -16,9 +16,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates, the one with the smallest id.
 
-    Texts are near-duplicates if they share 80 % of their five-word shingles or more.
+    Texts are near-duplicates if SimHash fingerprints of their four-word shingles connect them
+    by four differing bits or fewer.
     """
-    return simhash.drop_near_duplicates(docs, grouped=near_copies.near_copies)
+    return simhash.drop_near_duplicates(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
