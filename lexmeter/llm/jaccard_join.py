@@ -40,7 +40,7 @@ SHARE = 90
 PART = 100
 SEED = 42
 #: Rounds in which members bring up their most promising partner only.
-ROUNDS = 2
+ROUNDS = 1
 #: Members of a block, about, and children of a node.
 BLOCK = 1024
 FAN = 8
