@@ -142,11 +142,33 @@ def csv_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_reviews_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of documents, with their line breaks, written as CSV and read in splits."""
+    """Texts of documents, with their line breaks, written as several CSV files that are read in parallel."""
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "source", F.col(DOC).alias("asin"), F.col("text").alias("reviewText")
     )
-    return lm.read_reviews(spark, _as_csv(table, new_folder(spark)), in_splits=True)
+    return lm.read_reviews(spark, _as_csv(table.repartition(8, "asin"), new_folder(spark)))
+
+
+def _uneven_documents(spark: SparkSession, sf_dir: str) -> lm.Landed:
+    """Documents landed from CSV with a field too many in French ones and one too few in German ones."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    extra = F.when(F.col("lang") == "fr", ",extra").otherwise("")
+    size = F.when(F.col("lang") == "de", "").otherwise(F.concat(F.lit(","), "n_chars"))
+    line = F.concat(F.col(DOC), F.lit(","), "lang", size, extra).alias("id,lang,size")
+    folder = new_folder(spark)
+    table.select(line).write.csv(f"{folder}/csv", header=True, quote="", escapeQuotes=False, sep="\u0001")
+    columns = {"id": "bigint", "lang": "string", "size": "int"}
+    return lm.land(spark, f"{folder}/csv", f"{folder}/landed", columns)
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that do not fit their header, as they stand in the file."""
+    return _uneven_documents(spark, sf_dir).rejects
+
+
+def csv_without_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records landed from the same files."""
+    return _uneven_documents(spark, sf_dir).table
 
 
 def csv_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +192,7 @@ def land_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The TF-IDF table written as Parquet, and read."""
     path = f"{new_folder(spark)}/tfidf"
-    lm.write_tfidf(tfidf(spark, sf_dir), path)
+    lm.write_tfidf(tfidf(spark, sf_dir), path, CONV)
     return spark.read.parquet(path)
 
 
@@ -229,6 +251,8 @@ QUERIES: tuple[Query, ...] = (
     pearson,
     csv_reviews,
     csv_reviews_in_splits,
+    csv_rejects,
+    csv_without_rejects,
     csv_metadata,
     land_round_trip,
     write_tfidf,
@@ -351,6 +375,13 @@ ORDER BY docs_with_term, {CONV}, each_word LIMIT 20""",
 SELECT CAST({CONV} AS VARCHAR) AS asin, "text" AS "reviewText" FROM conversations""",
         "csv_reviews_in_splits": f"""
 SELECT CAST({DOC} AS VARCHAR) AS asin, "text" AS "reviewText" FROM documents""",
+        "csv_rejects": f"""
+SELECT CAST({DOC} AS VARCHAR) || ',' || lang ||
+  CASE WHEN lang = 'de' THEN '' ELSE ',' || CAST(n_chars AS VARCHAR) || ',extra' END AS record
+FROM documents WHERE lang IN ('de', 'fr')""",
+        "csv_without_rejects": f"""
+SELECT {DOC} AS id, lang, CAST(n_chars AS INTEGER) AS size
+FROM documents WHERE lang NOT IN ('de', 'fr')""",
         "csv_metadata": f"""
 SELECT CAST(p_partkey AS VARCHAR) AS asin, price FROM ({PRICES})""",
         "land_round_trip": "SELECT * FROM documents",

@@ -26,11 +26,12 @@ from lexmeter.plans.jobs import (
     review_tfidf,
     write_review_tfidf,
 )
-from lexmeter.sources.landing import land, write_tfidf
+from lexmeter.sources.landing import Landed, land, write_tfidf
 from lexmeter.sources.reviews import read_metadata, read_reviews
 from lexmeter.sources.tables import read_texts
 
 __all__ = [
+    "Landed",
     "avg_text_length",
     "clean_prices",
     "corpus_size",

@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from lexmeter.functions.fixed import METADATA_COLUMNS, REVIEW_COLUMNS
 from lexmeter.plans.jobs import price_length_correlation, write_review_tfidf
-from lexmeter.sources.landing import land
+from lexmeter.sources.landing import REJECTS, land
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -25,14 +25,13 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("job", choices=["land-reviews", "land-metadata", "tfidf", "pearson"])
     parser.add_argument("source")
     parser.add_argument("second")
-    parser.add_argument("--in-splits", action="store_true", help="read RFC 4180 files in splits")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"lexmeter {args.job}").getOrCreate()
     start = time.perf_counter()
     if args.job == "land-reviews":
-        landed = land(spark, args.source, args.second, REVIEW_COLUMNS, args.in_splits)
+        landed = land(spark, args.source, args.second, REVIEW_COLUMNS)
     elif args.job == "land-metadata":
-        landed = land(spark, args.source, args.second, METADATA_COLUMNS, args.in_splits)
+        landed = land(spark, args.source, args.second, METADATA_COLUMNS)
     elif args.job == "tfidf":
         for name, top in write_review_tfidf(spark.read.parquet(args.source), args.second).items():
             print(f"Highest {name}:")
@@ -42,6 +41,7 @@ def main(arguments: list[str] | None = None) -> None:
         print("Pearson correlation:", price_length_correlation(*tables).first()["pearson"])
     if args.job.startswith("land"):
         print(f"{landed.rows} rows; values that did not fit their type: {landed.misfits}")
+        print(f"{landed.rejected} records that did not fit the header, in {args.second}{REJECTS}")
     print(f"{time.perf_counter() - start:.1f} seconds")
 
 

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 PIECES = "_pieces"
 SALT = "_salt"
+#: Hot keys that are told apart at most, and those a sketch of them tracks.
+MOST_HOT = 4096
+TRACKED = 16384
 
 
 def with_pieces(weights: DataFrame, weight: str) -> DataFrame:
@@ -56,17 +59,32 @@ def join_salted(
     return left.join(right, same).select(*rows.columns, *values)
 
 
+def heavy_hashes(rows: DataFrame, key: str) -> DataFrame:
+    """``_hot``: hashes of the keys that exceed an average shuffle partition, by one small aggregate.
+
+    A sketch of the frequent hashes is merged over the tasks, so keys are not shuffled. It holds
+    every key with more than a few ten-thousandths of the rows; up to ``MOST_HOT`` are taken.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketch = F.call_function(
+        "approx_top_k", F.xxhash64(key), F.lit(min(partitions, MOST_HOT)), F.lit(TRACKED)
+    )
+    found = rows.agg(sketch.alias("_top"), F.count(F.lit(1)).alias("_total"))
+    top = found.select("_total", F.inline("_top"))
+    return top.where(F.col("count") * partitions > F.col("_total")).select(F.col("item").alias("_hot"))
+
+
 def join_heavy_light(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Inner-join ``lookup``, one row per ``key``, onto ``rows`` that may be all alike.
 
     Nothing tells such rows apart, so they cannot be salted in a way that a second
     run repeats. Rows of hot keys meet a broadcast of their few lookup rows where
-    they are read; only the others are shuffled.
+    they are read; only the others are shuffled. A key that the sketch of hot ones misses, or
+    takes by an equal hash, is joined all the same.
     """
     rows = rows.where(F.col(key).isNotNull())
-    weights = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_weight"))
-    hot = F.broadcast(hot_keys(with_pieces(weights, "_weight"), key).select("_hot"))
-    is_hot = F.col(key) == F.col("_hot")
+    hot = F.broadcast(heavy_hashes(rows, key))
+    is_hot = F.xxhash64(key) == F.col("_hot")
     # An inner join, as a semi join would be pushed below the aggregate the lookup
     # comes from, which then would be computed twice.
     few = lookup.join(hot, is_hot).drop("_hot")

@@ -32,7 +32,7 @@ def write_review_tfidf(
     spark = reviews.sparkSession
     term_counts(reviews, key, text).write.mode("overwrite").parquet(f"{folder}/term_counts")
     counts = spark.read.parquet(f"{folder}/term_counts")
-    write_tfidf(tfidf(counts, key), f"{folder}/tfidf")
+    write_tfidf(tfidf(counts, key), f"{folder}/tfidf", key)
     scores = spark.read.parquet(f"{folder}/tfidf")
     value = F.round("tfidf", TIE_PLACES)
     best = scores.orderBy(F.desc(value), F.asc(key), F.asc(WORD)).limit(TOP_ROWS)

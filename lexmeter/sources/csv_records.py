@@ -1,131 +1,28 @@
-"""CSV whose quoted fields may hold line breaks.
+"""CSV whose quoted fields may hold line breaks, with the records that do not fit the header.
 
-Spark reads such a file whole in one task (``multiLine``). Where a few huge files make
-that too slow, the caller may ask for reading in splits. Files are then read as lines, one
-task per split, and lines are put together again where a quote is still open. That asks
-for files as RFC 4180 has them: only quoted fields hold quotes, and they are doubled. A line
-break then lies inside a field exactly where an odd number of quotes precedes it. What
-is written otherwise is refused with an error, never read as other rows.
+Spark reads such a file whole in one task (``multiLine``), so many files are read in parallel and one
+huge file is not. Files are meant to be landed once as Parquet, which splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values.
 DIALECT = {"quote": '"', "escape": '"', "multiLine": "true"}
-QUOTED = '"[^"]*"'
-MARK = "\u0001"
-COMPRESSED = r"(?i)\.(gz|gzip|bz2|zst|zstd|lz4|snappy|deflate|xz)$"
 
-SPLIT = ["_file", "_split"]
 
-
-def read_csv(spark: SparkSession, path: str, in_splits: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, broken: str | None = None) -> DataFrame:
     """All columns as strings, named by the header each file begins with.
 
-    One task reads each file, whatever its size, or with ``in_splits`` many do.
+    With ``broken``, a further column of that name holds a record as it stands in the file where it has
+    fewer or more fields than the header, and NULL for all others. Without it such records are filled
+    with NULL or cut.
     """
-    whole = spark.read.options(header=True, **DIALECT).csv(path)
-    if not in_splits:
+    reader = spark.read.options(header=True, **DIALECT)
+    whole = reader.csv(path)
+    if broken is None:
         return whole
-    schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in whole.columns)
-    record = F.from_csv("record", schema, DIALECT).alias("record")
-    return _records(_lines(spark, path)).select(record).select("record.*")
-
-
-def _or_error(value: Column, wrong: Column, what: str) -> Column:
-    message = F.concat(F.lit(f"cannot be read in splits, {what}: "), F.col("_file"))
-    return F.when(wrong, F.raise_error(message)).otherwise(value)
-
-
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, split and order, and whether they turn the quoting."""
-    without = F.replace(F.col("value"), F.lit('"'), F.lit(""))
-    quotes = F.octet_length("value") - F.octet_length(without)
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_split"),
-            F.monotonically_increasing_id().alias("_line"),
-            "value",
-            (quotes % 2).alias("_turns"),
-        )
-    )
-
-
-def _split_states(lines: DataFrame) -> DataFrame:
-    """One row per split: turns before and in it, and the split that opened its quote."""
-    turns = lines.groupBy(*SPLIT).agg(F.sum("_turns").alias("_inside"))
-    by_file = Window.partitionBy("_file").orderBy("_split")
-    earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    open_end = F.sum("_inside").over(Window.partitionBy("_file")) % 2 == 1
-    turning = F.when(F.col("_inside") > 0, F.col("_split"))
-    opened = F.coalesce(F.sum("_inside").over(earlier), F.lit(0)) % 2
-    opened = _or_error(opened, open_end, "a quote is left open")
-    return turns.select(
-        *SPLIT,
-        "_inside",
-        _or_error(opened, F.col("_file").rlike(COMPRESSED), "it is compressed").alias("_open"),
-        F.last(turning, ignorenulls=True).over(earlier).alias("_opened_in"),
-    )
-
-
-def _joined_lines(order: str, text: str) -> Column:
-    """Texts of a group put together in order; the group is a single record."""
-    ordered = F.array_sort(F.collect_list(F.struct(order, text)))
-    return F.array_join(F.transform(ordered, lambda part: part[text]), "\n")
-
-
-def _checked(records: DataFrame) -> DataFrame:
-    """Records as Spark reads them, or an error where a quote or a return stands loose."""
-    without_return = F.left("record", F.length("record") - 1)
-    ended = F.when(F.endswith("record", F.lit("\r")), without_return).otherwise(F.col("record"))
-    plain = F.replace(ended, F.lit("\r\n"), F.lit("\n"))
-    outside = F.regexp_replace(plain, QUOTED, MARK)
-    loose = outside.rlike(f'"|[^,{MARK}]{MARK}|{MARK}[^,{MARK}]')
-    checked = _or_error(plain, loose, "a quote inside an unquoted field")
-    checked = _or_error(checked, F.contains(plain, F.lit("\r")), "a carriage return alone")
-    return records.select(checked.alias("record")).where("record <> ''")
-
-
-def _records(lines: DataFrame) -> DataFrame:
-    """One row per record, without header and empty lines.
-
-    Turns are counted from the start of a split, a quote that is open there being the
-    first. Before the lines of the k-th record of several lines there are 2k turns
-    (its first line) or 2k + 1 (all others). A line without a turn and an even number
-    before it is a record by itself, as most are; the others are put together in their
-    splits, and then across them.
-    """
-    so_far = Window.partitionBy(*SPLIT).orderBy("_line")
-    before = F.col("_open") + F.sum("_turns").over(so_far) - F.col("_turns")
-    placed = (
-        lines.join(_split_states(lines), SPLIT)
-        .withColumns({"_before": before, "_number": F.row_number().over(so_far)})
-        .withColumn("_record", F.floor(F.col("_before") / 2))
-    )
-    header = (F.col("_split") == 0) & (F.col("_number") == 1)
-    odd = (F.col("_turns") == 1) | F.col("value").rlike(r"\r.|^\s*$")
-    placed = placed.where(_or_error(~header, header & odd, "the first line is not the whole header"))
-    alone = (F.col("_turns") == 0) & (F.col("_before") % 2 == 0)
-    end = F.col("_open") + F.col("_inside")
-    head = (F.col("_open") == 1) & (F.col("_record") == 0)
-    tail = (end % 2 == 1) & (F.col("_record") == F.floor(end / 2))
-    owner = F.when(head, F.col("_opened_in")).otherwise(F.col("_split"))
-    # A record that is cut by a split is named by the split it begins in, and by no number.
-    number = F.when(head | tail, F.lit(-1)).otherwise(F.col("_record"))
-    together = (
-        placed.where(~alone)
-        .groupBy(*SPLIT, owner.alias("_owner"), number.alias("_record"))
-        .agg(_joined_lines("_line", "value").alias("_part"))
-        .groupBy("_file", "_owner", "_record")
-        .agg(_joined_lines("_split", "_part").alias("record"))
-    )
-    # Always true; it keeps the columns of both branches alike, so they share one exchange.
-    any_split = F.coalesce("_opened_in", F.lit(0)) + F.col("_inside") >= 0
-    single = placed.where(alone & any_split).select("_file", F.col("value").alias("record"))
-    return _checked(single.unionByName(together.select("_file", "record")))
+    names = [name.replace("`", "``") for name in (*whole.columns, broken)]
+    schema = ", ".join(f"`{name}` STRING" for name in names)
+    return reader.schema(schema).option("columnNameOfCorruptRecord", broken).csv(path)

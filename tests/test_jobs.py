@@ -2,10 +2,12 @@
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
-from helpers import brute_tfidf
+from helpers import brute_tfidf, plan_of
 from test_golden import METADATA_CSV, REVIEWS_CSV, TFIDF
 
+import lexmeter as lm
 from lexmeter.__main__ import main
 
 
@@ -32,3 +34,25 @@ def test_from_csv_to_results(spark, tmp_path, capsys):
     assert {(r.asin, r.each_word): r.tfidf for r in scores} == pytest.approx(
         {key: value[3] for key, value in brute_tfidf(reviews).items()}
     )
+
+
+def test_written_scores_are_found_by_their_key_in_few_files(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.enabled", "false")
+    rows = [(f"A{i:04}", f"word{i % 7} other{i} same same") for i in range(2000)]
+    rows += [("A0500", f"hot{i}") for i in range(6000)]
+    reviews = spark.createDataFrame(rows, "asin string, reviewText string").repartition(4)
+    lm.write_tfidf(lm.review_tfidf(reviews), f"{tmp_path}/tfidf")
+    ranges = []
+    for file in sorted(tmp_path.glob("tfidf/*.parquet")):
+        groups = pq.ParquetFile(file).metadata
+        column = groups.schema.names.index("asin")
+        stats = [groups.row_group(i).column(column).statistics for i in range(groups.num_row_groups)]
+        ranges += [(s.min, s.max) for s in stats if s]
+    ranges.sort()
+    assert len(ranges) == 8 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    assert sum(low <= "A1234" <= high for low, high in ranges) == 1
+    # The product with very many words takes several files, not one.
+    assert sum(low <= "A0500" <= high for low, high in ranges) > 2
+    found = spark.read.parquet(f"{tmp_path}/tfidf").where("asin = 'A1234'")
+    assert "PushedFilters: [IsNotNull(asin), EqualTo(asin,A1234)]" in plan_of(found)
+    assert found.count() == 3
