@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from lexmeter.llm.common import fresh
 from lexmeter.operators.skew import join_heavy_light
+from lexmeter.sources.scratch import new_folder, written
 
-#: Share of a host's pages beyond which a line goes, and pages below which none goes.
+#: Share of a host's pages beyond which a line goes, and pages that hold it at least: a line seen once stays.
 RATIO = 0.3
-LEAST_PAGES = 5
+LEAST_HOLDING = 2
 
 # Fixed values.
 HOST = r"://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -38,9 +39,9 @@ def page_lines(html: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, host_name: str, lines: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame, host_name: str, lines: str, ratio: float = RATIO, least_holding: int = LEAST_HOLDING
 ) -> DataFrame:
-    """For every host, ``_drop``: digests of the lines that exceed the ratio.
+    """For every host, ``_drop``: digests of the lines that exceed the ratio on enough pages.
 
     A line counts once for a page, and each row is a page. The lists are bounded: a host
     has fewer such lines than lines on a mean page, divided by the ratio.
@@ -49,9 +50,7 @@ def boilerplate(
     each = pages.select(host_name, F.explode(F.array_distinct(lines)).alias("_line"))
     each = each.select(host_name, F.unhex(F.md5("_line")).alias("_digest"))
     counts = each.groupBy(host_name, "_digest").agg(F.count(F.lit(1)).alias("_holding"))
-    # What could exceed the ratio on the smallest host that is looked at, before the join.
-    common = counts.where(F.col("_holding") > ratio * least_pages)
-    held = common.join(totals.where(F.col("_pages") >= least_pages), host_name)
+    held = counts.where(F.col("_holding") >= least_holding).join(totals, host_name)
     often = held.where(F.col("_holding") > ratio * F.col("_pages"))
     lists = often.groupBy(host_name).agg(F.collect_list("_digest").alias("_drop"))
     return totals.select(host_name).join(lists, host_name, "left")
@@ -62,37 +61,38 @@ def drop_boilerplate(
     url: str = "url",
     html: str = "html",
     ratio: float = RATIO,
-    least_pages: int = LEAST_PAGES,
+    least_holding: int = LEAST_HOLDING,
+    carry: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Add ``host``, ``text`` without boilerplate lines, ``n_lines`` and ``n_dropped``.
 
     ``n_lines`` counts the lines before. Pages without a URL share the empty host. NULL and
     empty pages have no lines and an empty text, but count as pages. Lines equal within
-    a page all stay or all go. Columns with the added names are replaced.
+    a page all stay or all go. All columns are carried, or those of ``carry``; columns with the
+    added names are replaced. The lines are cut once, and written before they are counted.
     """
     added = ("host", "text", "n_lines", "n_dropped")
-    kept = [c for c in pages.columns if c.lower() not in added or c in (url, html)]
-    name = fresh(pages.columns, "_host")
-    placed = pages.select(*kept, host(F.col(url)).alias(name))
-    lookup = boilerplate(placed, name, page_lines(F.col(html)), ratio, least_pages)
-    joined = join_heavy_light(placed, lookup, name)
-    staged = joined.withColumn("_lines", page_lines(F.col(html)))
+    kept = [c for c in (pages.columns if carry is None else carry) if c.lower() not in added]
+    name, lines = fresh(pages.columns, "_host"), fresh(pages.columns, "_lines")
+    placed = pages.select(*kept, host(F.col(url)).alias(name), page_lines(F.col(html)).alias(lines))
+    placed = written(placed, f"{new_folder(pages.sparkSession)}/lines")
+    joined = join_heavy_light(placed, boilerplate(placed, name, lines, ratio, least_holding), name)
     drop = F.coalesce("_drop", F.array().cast("array<binary>"))
-    stays = F.filter("_lines", lambda line: ~F.array_contains(drop, F.unhex(F.md5(line))))
-    staged = staged.withColumn("_stays", F.when(F.size(drop) > 0, stays).otherwise(F.col("_lines")))
+    stays = F.filter(lines, lambda line: ~F.array_contains(drop, F.unhex(F.md5(line))))
+    staged = joined.withColumn("_stays", F.when(F.size(drop) > 0, stays).otherwise(F.col(lines)))
     return staged.select(
-        *[c for c in kept if c.lower() not in added],
+        *kept,
         F.col(name).alias("host"),
         F.array_join("_stays", "\n").alias("text"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_stays")).cast("long").alias("n_dropped"),
+        F.size(lines).cast("long").alias("n_lines"),
+        (F.size(lines) - F.size("_stays")).cast("long").alias("n_dropped"),
     )
 
 
 def op3_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of every page without the boilerplate of its host."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    cleaned = drop_boilerplate(pages)
+    cleaned = drop_boilerplate(pages, carry=("page_id",))
     return cleaned.select("page_id", "host", "text", "n_lines", "n_dropped")
 
 
@@ -110,7 +110,7 @@ WITH p AS (
   SELECT host, line
   FROM (SELECT host, line, count(DISTINCT rid) AS holding
         FROM (SELECT rid, host, unnest(lines) AS line FROM p) GROUP BY host, line)
-  JOIN totals USING (host) WHERE pages >= {LEAST_PAGES} AND holding > {RATIO} * pages
+  JOIN totals USING (host) WHERE holding >= {LEAST_HOLDING} AND holding > {RATIO} * pages
 ), cut AS (
   SELECT host, list(line) AS gone FROM often GROUP BY host
 ), stays AS (

@@ -24,10 +24,20 @@ def test_only_lines_common_on_their_host_go(spark, conf, broadcast):
     got = {r.page_id: r for r in line_dedup.drop_boilerplate(pages(spark, rows).repartition(4)).collect()}
     assert got[7].text == "own 7\nown 7" and (got[7].n_lines, got[7].n_dropped) == (3, 1)
     assert got[1003].text == "menu\npage 3" and got[1003].host == "h3.example"
-    assert {got[2000 + i].text for i in range(4)} == {"same"}
+    assert {got[2000 + i].text for i in range(4)} == {""}  # on 4 of 4 pages, as on 200 of 200
     assert len(got) == 304
 
 
+def test_a_line_seen_once_stays_on_any_host(spark):
+    rows = [(1, "http://one.page", "<p>a</p>"), (2, "http://two.pages", "<p>b</p><p>c</p>")]
+    rows += [(3, "http://two.pages", "<p>b</p>"), (4, "http://two.pages", "<p>d</p>")]
+    table = pages(spark, rows)
+    got = {r.page_id: r.text for r in line_dedup.drop_boilerplate(table).collect()}
+    assert got == {1: "a", 2: "c", 3: "", 4: "d"}
+    strict = line_dedup.drop_boilerplate(table, least_holding=3)
+    assert {r.page_id: r.text for r in strict.collect()}[3] == "b"
+
+
 def test_ratio_is_of_pages_not_of_lines(spark):
     rows = [(i, "http://a.b", "<p>x</p>" * 9 if i < 3 else "<p>y</p>") for i in range(10)]
     got = {r.page_id: r.text for r in line_dedup.drop_boilerplate(pages(spark, rows)).collect()}
