@@ -152,6 +152,9 @@ def findings(docs: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule
     current = found.where(F.col("rule").isin([rule.name for rule in rules])).distinct()
     one = F.struct("start", order.alias("rank"), "kind", "end")
     by_blob = current.groupBy("blob").agg(F.array_sort(F.collect_list(one)).alias("_found"))
+    # Written, so that both sides of the join come straight from a shuffle: adaptive execution
+    # then splits the copies of a hot blob, which it does not beside an aggregate.
+    by_blob = written(by_blob, f"{new_folder(spark)}/by_blob")
     kept = [c for c in docs.columns if c.lower() != "secrets"]
     held = docs.select(F.struct(*kept).alias("_row"), address(F.col(text)).alias("blob"))
     none = F.array().cast(by_blob.schema["_found"].dataType)

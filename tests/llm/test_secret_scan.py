@@ -87,3 +87,17 @@ def test_awkward_rows(spark, awkward, empty, folder_of, same_as_sql):
     got = ss.scan_secrets(awkward.withColumn("text", F.lit("x api-key token=abcdefghijkl")), ledger)
     assert got.count() == awkward.count() and {r.secrets[0].start for r in got.collect()} == {10}
     assert ss.scan_secrets(empty, ledger).count() == 0
+
+
+def test_half_of_all_documents_are_one_blob(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "16k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    text = F.when(F.col("id") % 2 == 0, "token = abcdefghijklmnop").otherwise(F.concat(F.lit("text "), "id"))
+    docs = spark.range(40_000).repartition(8).select(F.col("id").alias("doc_id"), text.alias("text"))
+    found = ss.scan_secrets(docs, f"{tmp_path}/ledger")
+    joined = found.groupBy("doc_id").agg(F.first(F.size("secrets")).alias("n"))
+    assert {(r.n, r.number) for r in joined.groupBy("n").agg(F.count("n").alias("number")).collect()} == {(1, 20_000), (0, 20_000)}
+    found._jdf.collectToPython()
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
