@@ -1,9 +1,11 @@
 """Sharding by proportional stratified interleaving.
 
 The rows of each source are shuffled by a seeded hash and ranked; row ``r`` of ``n`` stands
-at the fraction (2r + 1) / 2n of its source. Sorted by that fraction, any stretch of rows
-holds every source in proportion, so cutting the sorted rows into equal pieces gives shards
-that all match the mixture and differ by one row at most.
+at the fraction (r + u) / n of its source, where u, from 0 to 1, is a seeded hash of the source. Sorted
+by that fraction, any stretch of rows holds every source in proportion, so cutting the sorted
+rows into equal pieces gives shards that all match the mixture and differ by one row at most. With
+a u of their own, sources of one or a few rows, however many there are, spread over all
+shards, where a common u would put them side by side.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ def interleave(
         F.lit(1).cast("long").alias(one),
     )
     ranked = running_totals(rows, rows.select(group, key, one), group, key, [F.col(key)], one)
-    place, number = 2 * F.col(f"{one}_before") + 1, 2 * F.col(f"{one}_all")
+    head = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), group)), 1, 8), 16, 10).cast("double")
+    place, number = F.col(f"{one}_before") + (head + 0.5) / 2**32, F.col(f"{one}_all")
     count = rows.agg(F.count(F.lit(1))).scalar()
     parts = F.greatest(F.ceil(count / ROWS_PER_SLOT), F.lit(1).cast("long"))
     placed = ranked.withColumn("_fraction", place / number)

@@ -20,7 +20,8 @@ def slow_shards(rows, shards, seed=sharding.SEED):
     for source, members in by_source.items():
         for rank, (key, id) in enumerate(sorted(members)):
             group = "" if source is None else f"={source}"
-            placed.append(((2 * rank + 1) / (2 * len(members)), group, key, id))
+            shift = (int(hashlib.md5(f"{seed}:{group}".encode()).hexdigest()[:8], 16) + 0.5) / 2**32
+            placed.append(((rank + shift) / len(members), group, key, id))
     total, found, slots = len(placed), {}, Counter()
     for rank, (*_, id) in enumerate(sorted(placed)):
         shard = rank * shards // total
@@ -65,3 +66,14 @@ def test_awkward_rows(awkward, empty):
     assert sharding.interleave(empty).count() == 0
     few = sharding.interleave(awkward.limit(3), shards=40).collect()
     assert len({r.shard for r in few}) == 3 and {r.slot for r in few} == {0}
+
+
+def test_a_source_for_each_row_spreads_over_all_slots_and_shards(spark):
+    rows = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.concat(F.lit("s"), "id").alias("source"))
+    mixed = rows.unionByName(rows.select("doc_id", "text", F.lit("large").alias("source")))
+    got = sharding.interleave(mixed)
+    counts = got.groupBy("shard").agg(F.count("slot").alias("rows"), F.count_if(F.col("source") == "large").alias("large")).collect()
+    assert {r.rows for r in counts} == {5000} and len(counts) == 40
+    assert all(2250 < r.large < 2750 for r in counts)
+    placed = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in placed
