@@ -4,9 +4,14 @@ A paragraph is a line of a text, or a run of lines without a blank one between t
 licences are often wrapped; comment markers are no words. Its words and word pairs are sparse features of a logistic
 regression over licence families and one class for all else. It learns the families from
 templates with words left out, put in and swapped, and the other class from paragraphs
-sampled from the corpus. A share of both is kept to calibrate a probability below which
-a paragraph counts as unknown. A prediction is confirmed if the paragraph holds most of
-one of the family's templates.
+sampled from the corpus, and from templates whose family is replaced by other words, as of a licence
+outside the families. A share of these is kept to calibrate a probability below which
+a paragraph counts as unknown.
+
+A family is confirmed where a stretch of a paragraph holds most of one of its templates, with
+the same marks (``nc``, ``affero``) and no negation that the template lacks, and the model prefers the
+family to none there. So one paragraph may have several families. Each expression of an
+``SPDX-License-Identifier`` counts as a paragraph for each of its identifiers.
 """
 
 from __future__ import annotations
@@ -24,10 +29,17 @@ from lexmeter.llm.decontamination import TABLE
 
 # Fixed values.
 TEMPLATES = {
+    "AGPL": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under the AGPL, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Apache License Version 2.0, January 2004",
     ),
     "BSD": (
         "Released under the BSD License.",
@@ -43,30 +55,82 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-NC-ND": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-ND": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
     "CC-BY-SA": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ),
+    "CC0": (
+        "Released under CC0 1.0 Universal.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    ),
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "Licensed under the GPL, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "Licensed under the LGPL, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
     ),
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
+        'The Software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.',
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
     ),
     "Proprietary": ("All rights reserved.", "Copyright. All rights reserved."),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+}
+IDENTIFIERS = {
+    "AGPL": "AGPL",
+    "Apache-2.0": "Apache-2.0",
+    "BSD": "BSD",
+    "CC-BY": "CC-BY-4.0",
+    "CC-BY-NC": "CC-BY-NC-4.0",
+    "CC-BY-NC-ND": "CC-BY-NC-ND-4.0",
+    "CC-BY-NC-SA": "CC-BY-NC-SA-4.0",
+    "CC-BY-ND": "CC-BY-ND-4.0",
+    "CC-BY-SA": "CC-BY-SA-4.0",
+    "CC0": "CC0-1.0",
+    "EPL-2.0": "EPL-2.0",
+    "GPL": "GPL",
+    "ISC": "ISC",
+    "LGPL": "LGPL",
+    "MIT": "MIT",
+    "MPL-2.0": "MPL-2.0",
+    "Unlicense": "Unlicense",
 }
+#: Words that tell relatives apart, and words that turn a grant into its opposite.
+MARKS = frozenset(b"affero lesser nc nd sa noncommercial noderivatives sharealike".split())
+NEGATIONS = frozenset(b"no not never isn aren wasn cannot".split())
 FAMILIES = tuple(TEMPLATES)
 NONE = len(FAMILIES)
 
@@ -78,16 +142,23 @@ CALIBRATION = 5
 #: Share of other paragraphs that may pass the calibrated probability, and of a template to be found.
 FALSE = 0.0005
 FOUND = 0.8
+#: Share of licences outside the families that must stay below the calibrated probability.
+UNKNOWN = 0.99
 STEPS = 200
 SEED = 13
 
-_RESULT = (
-    "array<struct<paragraph:int,family:string,probability:double,confirmed:boolean>>"
-)
+_RESULT = "array<struct<paragraph:int,family:string,probability:double,confirmed:boolean,version:string>>"
 
 
 #: Comment markers of letters; all others are no words.
 _MARKER = re.compile(rb"^\s*(?:rem|dnl)\s", re.IGNORECASE)
+_SPDX = b"SPDX-License-Identifier: "
+_EXPRESSION = re.compile(rb"SPDX-License-Identifier:([^\r]*)", re.IGNORECASE)
+_IDENTIFIER = re.compile(rb"[A-Za-z0-9][A-Za-z0-9.+-]*")
+
+Words = list[bytes]
+#: Paragraph, family, probability, confirmed or not, version.
+Finding = tuple[int, str, float, bool, str]
 
 
 def words(paragraph: bytes) -> list[bytes]:
@@ -103,6 +174,52 @@ def _held(template: list[bytes], paragraph: list[bytes]) -> float:
     return len(own & other) / max(len(own), 1)
 
 
+def _version(found: Words) -> str:
+    """The first number of a stretch, with a digit after the point if there is one; mostly empty."""
+    for i, word in enumerate(found):
+        after = found[i + 1] if i + 1 < len(found) else b""
+        if word.isdigit() and len(word) < 3 and after != b"clause":
+            return (word + b"." + after if after.isdigit() and len(after) == 1 else word).decode()
+    return ""
+
+
+class Template:
+    """Words of a licence, its word pairs, and what a stretch of text must hold of them."""
+
+    def __init__(self, family: int, text: Words):
+        self.family, self.text = family, text
+        self.pairs = frozenset(zip(text, text[1:], strict=False))
+        self.least = FOUND * len(self.pairs)
+        self.longest = len(text) * 5 // 4 + 8
+        self.marks = MARKS.intersection(text)
+        self.negations = sum(word in NEGATIONS for word in text)
+
+    def stretches(self, joined: Words, pairs: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, int]]:
+        """First and last word of the stretches that hold most of the template, apart from each other."""
+        places, low, free = [i for i, p in enumerate(pairs) if p in self.pairs], 0, 0
+        for high, place in enumerate(places):
+            if place < free:
+                continue
+            while place - places[low] >= self.longest or places[low] < free:
+                low += 1
+            held = {pairs[i] for i in places[low : high + 1]}
+            if len(held) < self.least:
+                continue
+            if high + 1 < len(places) and places[high + 1] - places[low] < self.longest and pairs[places[high + 1]] not in held:
+                continue
+            start = low
+            while pairs[places[start]] in {pairs[i] for i in places[start + 1 : high + 1]}:
+                start += 1
+            if self.alike(joined, places[start], place + 1):
+                yield places[start], place + 1
+            free = place + 2
+
+    def alike(self, joined: Words, first: int, last: int) -> bool:
+        """Whether a stretch has the template's marks, and no more negations, two words before it included."""
+        negations = sum(word in NEGATIONS for word in joined[max(first - 2, 0) : last + 1])
+        return MARKS.intersection(joined[first : last + 1]) == self.marks and negations <= self.negations
+
+
 @dataclass
 class Classifier:
     """Numbers of words and word pairs, their weights, and the calibrated probability."""
@@ -112,9 +229,9 @@ class Classifier:
     weights: np.ndarray
     bias: np.ndarray
     least: float = 0.5
-    templates: dict[int, list[list[bytes]]] = field(default_factory=dict)
+    templates: list[Template] = field(default_factory=list)
 
-    def features(self, paragraph: list[bytes]) -> set[int]:
+    def features(self, paragraph: Words) -> set[int]:
         """Numbers of the words and word pairs of a paragraph; unknown ones are left out."""
         found = {self.singles[word] for word in paragraph if word in self.singles}
         if len(found) > 1:
@@ -122,7 +239,7 @@ class Classifier:
             found.update(pairs[p] for p in zip(paragraph, paragraph[1:], strict=False) if p in pairs)
         return found
 
-    def probabilities(self, paragraphs: list[list[bytes]]) -> np.ndarray:
+    def probabilities(self, paragraphs: list[Words]) -> np.ndarray:
         """Probability of each family, and last of none, for each paragraph."""
         odds = np.repeat(self.bias[None], len(paragraphs), 0)
         for row, paragraph in enumerate(paragraphs):
@@ -131,86 +248,73 @@ class Classifier:
         odds = np.exp(odds - odds.max(1, keepdims=True))
         return odds / odds.sum(1, keepdims=True)
 
-    def confirmed(self, family: int, paragraph: list[bytes]) -> bool:
-        return any(_held(template, paragraph) >= FOUND for template in self.templates[family])
-
     def limits(self) -> tuple[list[float], float]:
         """The most each feature can add to a family's odds against none, and what is needed."""
         gains = (self.weights[:, :NONE] - self.weights[:, NONE:]).max(1)
         gap = (self.bias[:NONE] - self.bias[NONE]).max()
         return np.maximum(gains, 0).tolist(), float(np.log(self.least / (1 - self.least)) - gap)
 
-    def scan(self, texts: Iterator[bytes]) -> Iterator[list[tuple[int, str, float, bool]]]:
-        """Paragraph, family, probability and confirmation of every licence in each text.
+    def scan(self, texts: Iterator[bytes], prune: bool = True) -> Iterator[list[Finding]]:
+        """The licences in each text, in order: confirmed stretches, and other lines like a family.
 
-        Only paragraphs whose features could lift a family to the calibrated
-        probability are evaluated.
+        With ``prune``, only lines whose features could lift a family to the calibrated
+        probability are evaluated; the result is the same without.
         """
         gains, needed = self.limits()
         for text in texts:
-            numbers, paragraphs = [], []
-            lines = [words(_MARKER.sub(b"", line)) for line in text.split(b"\n")]
-            for number, own in enumerate(lines):
-                if sum(gains[f] for f in self.features(own)) >= needed:
-                    numbers.append(number)
-                    paragraphs.append(own)
-            chances = self.probabilities(paragraphs) if paragraphs else np.empty((0, NONE + 1))
-            best = chances.argmax(1).tolist()
-            found = [
-                (numbers[i], FAMILIES[f], float(chances[i, f]), self.confirmed(f, paragraphs[i]))
-                for i, f in enumerate(best)
-                if f != NONE and chances[i, f] >= self.least
+            raw = text.split(b"\n")
+            lines = [words(_MARKER.sub(b"", line)) for line in raw]
+            confirmed = {(c[0], c[2]): c for c in (*self._confirmed(lines), *self._identified(raw))}.values()
+            inside = {i for first, last, *_ in confirmed for i in range(first, last + 1)}
+            numbers = [
+                i
+                for i, own in enumerate(lines)
+                if own and i not in inside and (not prune or sum(gains[f] for f in self.features(own)) >= needed)
             ]
-            yield self._with_wrapped(lines, found)
-
-    def _with_wrapped(self, lines: list[list[bytes]], found: list[tuple]) -> list[tuple]:
-        """Findings of single lines, and of licences wrapped over several, at their first line.
-
-        Unconfirmed lines of the same family are part of the wrapped licence.
-        """
+            chances = self.probabilities([lines[i] for i in numbers])
+            found = [(first, FAMILIES[family], chance, True, version) for first, _, family, chance, version in confirmed]
+            for number, chance in zip(numbers, chances, strict=True):
+                family = int(chance.argmax())
+                if family != NONE and chance[family] >= self.least:
+                    found.append((number, FAMILIES[family], float(chance[family]), False, _version(lines[number])))
+            yield sorted(found)
+
+    def _confirmed(self, lines: list[Words]) -> Iterator[tuple[int, int, int, float, str]]:
+        """First and last line, family, probability and version of confirmed stretches; one a family and first line."""
         start = 0
         for end in range(len(lines) + 1):
             if end < len(lines) and lines[end]:
                 continue
-            if end - start > 1:
-                for first, last, family, chance in self._wrapped(lines[start:end]):
-                    name = FAMILIES[family]
-                    inside = [f for f in found if f[1] == name and start + first <= f[0] <= start + last]
-                    if not any(f[3] for f in inside):
-                        found = [f for f in found if f not in inside]
-                        found.append((start + first, name, chance, True))
+            best = {}
+            for first, last, family, chance, version in self._stretches(lines[start:end]):
+                key = (start + first, family)
+                best[key] = max(best.get(key, (0, 0.0, "")), (start + last, chance, version))
+            for (first, family), (last, chance, version) in best.items():
+                yield first, last, family, chance, version
             start = end + 1
-        return sorted(found, key=lambda f: (f[0], f[1]))
 
-    def _wrapped(self, lines: list[list[bytes]]) -> Iterator[tuple[int, int, int, float]]:
-        """First and last line, family and probability of templates that cross line ends."""
+    def _stretches(self, lines: list[Words]) -> Iterator[tuple[int, int, int, float, str]]:
         joined = [word for line in lines for word in line]
-        line_of = [i for i, line in enumerate(lines) for _ in line]
         pairs = list(zip(joined, joined[1:], strict=False))
         there = self.pairs.keys() & pairs
-        for family, templates in self.templates.items():
-            for template in templates:
-                own = set(zip(template, template[1:], strict=False))
-                least = FOUND * len(own)
-                if len(own & there) < least:
-                    continue
-                # The template's pairs within a stretch little longer than the template.
-                places, low, free = [i for i, p in enumerate(pairs) if p in own], 0, 0
-                longest = len(template) * 5 // 4 + 4
-                for high, place in enumerate(places):
-                    while place - places[low] >= longest:
-                        low += 1
-                    within = places[low : high + 1]
-                    held = len({pairs[i] for i in within})
-                    more = high + 1 < len(places) and places[high + 1] - places[low] < longest
-                    if held < least or places[low] < free or more:
-                        continue
-                    stretch = joined[places[low] : place + 2]
-                    first, last = line_of[places[low]], line_of[place + 1]
-                    [chances] = self.probabilities([stretch])
-                    if first < last and chances.argmax() == family and chances[family] >= self.least:
-                        yield first, last, family, float(chances[family])
-                        free = place + 2
+        fitting = [t for t in self.templates if len(there) >= t.least and len(t.pairs & there) >= t.least]
+        line_of = [i for i, line in enumerate(lines) for _ in line] if fitting else []
+        for template in fitting:
+            for first, last in template.stretches(joined, pairs):
+                [chances] = self.probabilities([joined[first : last + 1]])
+                own, none = float(chances[template.family]), float(chances[NONE])
+                if own >= self.least * (own + none):
+                    version = _version(joined[first : last + 3])
+                    yield line_of[first], line_of[last], template.family, own / (own + none), version
+
+    def _identified(self, raw: list[bytes]) -> Iterator[tuple[int, int, int, float, str]]:
+        """The same of the identifiers in SPDX expressions, each by itself."""
+        for number, line in enumerate(raw):
+            # A cheap test first, as nearly all lines have none.
+            expression = _EXPRESSION.search(line) if b"-" in line else None
+            for identifier in sorted(set(_IDENTIFIER.findall(expression[1]))) if expression else ():
+                for _, _, *rest in self._stretches([words(_SPDX + identifier)]):
+                    yield number, number, *rest
 
 
 def _vary(template: list[bytes], filler: list[bytes], random: np.random.Generator) -> list[bytes]:
@@ -248,6 +352,9 @@ def train(others: list[bytes]) -> Classifier:
     """A classifier from the templates and sampled paragraphs that are no licence."""
     random = np.random.default_rng(SEED)
     templates = {i: [words(t.encode()) for t in TEMPLATES[f]] for i, f in enumerate(FAMILIES)}
+    for i, family in enumerate(FAMILIES):
+        if family in IDENTIFIERS:
+            templates[i].append(words(_SPDX + IDENTIFIERS[family].encode()))
     own = sorted({word for family in templates.values() for t in family for word in t})
     pairs = sorted({p for family in templates.values() for t in family for p in zip(t, t[1:], strict=False)})
     singles = {word: i for i, word in enumerate(own)}
@@ -256,7 +363,9 @@ def train(others: list[bytes]) -> Classifier:
     plain = [p for p in plain if all(_held(t, p) < 0.5 for f in templates.values() for t in f)]
     filler = sorted({word for p in plain for word in p} - set(own)) or [b"x"]
     examples = [(p, NONE) for p in plain]
+    strangers = []
     for family, texts in templates.items():
+        others_words = {word for f, other in templates.items() if f != family for t in other for word in t}
         for template in texts:
             examples += [(template, family)] * 5
             examples += [(_vary(template, filler, random), family) for _ in range(VARIANTS)]
@@ -264,17 +373,24 @@ def train(others: list[bytes]) -> Classifier:
             for _ in range(VARIANTS // 4):
                 few = [template[i] for i in random.permutation(len(template))[: 2 + len(template) // 4]]
                 examples.append((few + [filler[i] for i in random.integers(0, len(filler), 8)], NONE))
-    model = Classifier(singles, numbers, np.empty(0), np.empty(0), templates=templates)
+            # A licence of another name: the frame stays, the words of the family alone go.
+            if set(template) - others_words:
+                for _ in range(VARIANTS // 2):
+                    named = [w if w in others_words else filler[random.integers(0, len(filler))] for w in template]
+                    strangers.append(_vary(named, filler, random))
+    examples[len(plain) : len(plain)] = [(p, NONE) for p in strangers]
+    model = Classifier(singles, numbers, np.empty(0), np.empty(0), templates=[Template(f, t) for f, texts in templates.items() for t in texts])
     order = random.permutation(len(examples))
     held, learned = order[: len(order) // CALIBRATION], order[len(order) // CALIBRATION :]
     rows = [model.features(examples[i][0]) for i in learned]
     kinds = np.array([examples[i][1] for i in learned])
     model.weights, model.bias = _softmax_fit(rows, kinds, len(own) + len(pairs))
-    # Made-up near misses would set it too high; those are left to the comparison.
-    outside = [examples[i][0] for i in held if i < len(plain)]
-    if outside:
-        wrong = model.probabilities(outside)[:, :NONE].max(1)
-        model.least = float(min(max(np.quantile(wrong, 1 - FALSE), 0.5), 0.9))
+    for low, high, share in ((0, len(plain), 1 - FALSE), (len(plain), len(plain) + len(strangers), UNKNOWN)):
+        outside = [examples[i][0] for i in held if low <= i < high]
+        if outside:
+            wrong = model.probabilities(outside)
+            wrong = (wrong[:, :NONE].max(1) / (wrong[:, :NONE].max(1) + wrong[:, NONE]))
+            model.least = max(model.least, min(float(np.quantile(wrong, share)), 0.9))
     return model
 
 
@@ -298,10 +414,11 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Classifier
 
 
 def scan_licenses(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
-    """Add ``licenses``: paragraph, family, probability and confirmation of each licence.
+    """Add ``licenses``: paragraph, family, probability, confirmation and version of each licence.
 
-    Paragraphs are counted from 0; they are in order. NULL and empty texts have none. A
-    column of the same name is replaced.
+    Paragraphs are lines, counted from 0; a wrapped licence counts at its first. They are in order;
+    findings of one paragraph go by family. NULL and empty texts have none. Every row is scanned by itself, so
+    repeated rows have equal results. A column of the same name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(
@@ -311,6 +428,7 @@ def scan_licenses(docs: DataFrame, model: Classifier, text: str = "text") -> Dat
                 ("family", pa.string()),
                 ("probability", pa.float64()),
                 ("confirmed", pa.bool_()),
+                ("version", pa.string()),
             ]
         )
     )
@@ -329,7 +447,9 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(docs, learn(docs))
     sure = F.filter("licenses", lambda x: x["confirmed"])
     families = F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"])))
-    spans = F.transform("licenses", lambda x: F.concat_ws(":", x["paragraph"], x["family"], x["confirmed"]))
+    spans = F.transform(
+        "licenses", lambda x: F.concat_ws(":", x["paragraph"], x["family"], x["version"], x["confirmed"])
+    )
     return found.select(
         "doc_id",
         F.array_join(families, ",").alias("families"),
