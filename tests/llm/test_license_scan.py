@@ -39,9 +39,14 @@ def test_varied_templates_are_recognised(model):
     for family, texts in ls.TEMPLATES.items():
         for template in texts:
             words = template.split()
-            # A word that tells the family from its relatives must stay; numbers such as 4.0 are two words.
-            parts = [ls.words(word.encode()) for word in words]
-            spare = [i for i, own in enumerate(parts) if len(own) == 1 and not ls.MARKS.intersection(own)]
+            # What is left must hold enough of the template still, and what tells it from its relatives.
+            whole = ls.words(template.encode())
+            rests = [ls.words(" ".join(words[:i] + words[i + 1 :]).encode()) for i in range(len(words))]
+            spare = [
+                i
+                for i, rest in enumerate(rests)
+                if ls._held(whole, rest) >= ls.FOUND and ls.MARKS.intersection(rest) == ls.MARKS.intersection(whole)
+            ]
             if len(words) > 8:
                 del words[rng.choice(spare)]
             line = " ".join(["Acme", "2020", *words, "thank", "readers"]).upper().encode()
