@@ -8,15 +8,22 @@ bytes of either side are those of the text.
 
 Token ends in bytes decide the rest: tokens overlap if their byte ranges do, and offsets where
 tokens of both sides end cut the text into groups.
+
+No token of either side holds a space behind another character (``load`` looks it up), so a text may
+be cut there beforehand: both tokenizers treat `` word`` alike wherever it stands, and a cut is the
+end of a group. Each process remembers the alignment of short words, and new ones of
+many texts are aligned together. A text with a word that either side cannot give back is aligned whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import attrgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -34,7 +41,12 @@ PIECES = "piece_bpe_32k.model"
 #: Id pairs up to which their counts are broadcast; more are joined by a shuffle.
 LOOKUP = 2**20
 
+#: Words of up to so many characters are remembered, and so many of them in a process.
+SHORT = 64
+REMEMBERED = 2**16
+
 _SPACE = "▁"
+_BETWEEN = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
 _BATCH = 256
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a array<int>, b array<int>, times array<int>"
 
@@ -55,6 +67,16 @@ class Vocabulary:
         return self.bytes[place + np.arange(len(place))]
 
 
+class Word(NamedTuple):
+    """The alignment of a word with the space before it."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    pairs: bytes  # of ids, one for each link
+
+
 class Tokenizers(NamedTuple):
     """Both tokenizers of a process, and their vocabularies."""
 
@@ -62,6 +84,8 @@ class Tokenizers(NamedTuple):
     b: object
     of_a: Vocabulary
     of_b: Vocabulary
+    in_words: bool
+    known: dict[str, Word | None]
 
 
 class Alignment(NamedTuple):
@@ -103,7 +127,9 @@ def load(folder: str, byte_bpe: str, pieces: str) -> Tokenizers:
         # A special token stands for no text, so its strings never decode to one here.
         a_bytes[number] = bytes(meaning[c] for c in token) if all(c in meaning for c in token) else b""
     b_bytes = [_piece_bytes(b.id_to_piece(i), b.is_byte(i)) for i in range(b.get_piece_size())]
-    return Tokenizers(a, b, Vocabulary(a_bytes, ",", "|"), Vocabulary(b_bytes, ",", ";"))
+    across = re.compile(r"\S ")
+    in_words = not any(across.search(token.decode(errors="replace")) for token in chain(a_bytes, b_bytes))
+    return Tokenizers(a, b, Vocabulary(a_bytes, ",", "|"), Vocabulary(b_bytes, ",", ";"), in_words, {})
 
 
 def _refined(coarse: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -120,21 +146,27 @@ def _refined(coarse: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return np.where(sound, end, np.cumsum(sizes[ids]))
 
 
-def _a_ends(encoding, whole: str, data: bytes, tokens: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.array(encoding.ids, np.int64)
-    spans = np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
-    if len(data) != len(whole):  # characters to bytes: before each character, and at the end
+def _a_ends(encodings: list, wholes: list[str], data: bytes, tokens: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and ends of the tokens of some texts, one after the other."""
+    ids = np.fromiter(chain.from_iterable(e.ids for e in encodings), np.int64)
+    offsets = chain.from_iterable(e.offsets for e in encodings)
+    spans = np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
+    length = np.fromiter(map(len, wholes), np.int64, len(wholes))
+    spans += np.repeat(np.cumsum(length) - length, list(map(len, encodings)))[:, None]
+    if len(data) != length.sum():  # characters to bytes: before each character, and at the end
         heads = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
         place = np.append(np.flatnonzero(heads), len(data))
         spans = place[spans]
     return ids, _refined(spans.T, ids, tokens.of_a.sizes)
 
 
-def _b_ends(proto, tokens: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
-    pieces = proto.pieces
-    ids = np.array([p.id for p in pieces], np.int64)
+def _b_ends(protos: list, sizes: np.ndarray, tokens: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
+    """The same for B. ``sizes`` are those of the texts in bytes."""
+    pieces = [proto.pieces for proto in protos]
+    both = chain.from_iterable(map(attrgetter("id", "end"), chain.from_iterable(pieces)))
+    ids, end = np.fromiter(both, np.int64).reshape(-1, 2).T
     # The surface lacks the space that B adds before the text.
-    end = np.array([p.end for p in pieces], np.int64) + 1
+    end = end + 1 + np.repeat(np.cumsum(sizes) - sizes, list(map(len, pieces)))
     return ids, _refined(np.stack([np.append(0, end[:-1]), end]), ids, tokens.of_b.sizes)
 
 
@@ -148,20 +180,20 @@ def _linked(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return of_a, np.arange(len(of_a)) - np.repeat(np.cumsum(number) - number, number) + np.repeat(first, number)
 
 
-def align(text: str | None, encoding, proto, tokens: Tokenizers) -> Alignment | None:
-    """The alignment of a text; None if it is empty or either side has other bytes than it."""
-    if not text:
-        return None
-    whole = f" {text}"
-    data = whole.encode()
-    a, a_end = _a_ends(encoding, whole, data, tokens)
-    b, b_end = _b_ends(proto, tokens)
+def align(texts: list[str], encodings: list, protos: list, tokens: Tokenizers) -> Alignment | None:
+    """The alignment of texts that follow each other; None if either side has other bytes than they."""
+    wholes = [f" {text}" for text in texts]
+    parts = [whole.encode() for whole in wholes]
+    data = b"".join(parts)
+    a, a_end = _a_ends(encodings, wholes, data, tokens)
+    b, b_end = _b_ends(protos, np.fromiter(map(len, parts), np.int64, len(parts)), tokens)
     wanted = np.frombuffer(data, np.uint8)
     if not all(np.array_equal(v.decoded(ids), wanted) for ids, v in ((a, tokens.of_a), (b, tokens.of_b))):
         return None
     cuts = a_end[b_end[np.minimum(np.searchsorted(b_end, a_end), len(b_end) - 1)] == a_end]
     link_a, link_b = _linked(a_end, b_end)
-    return Alignment(a, b, cuts, np.searchsorted(a_end, cuts, "right"), np.searchsorted(b_end, cuts, "right"), link_a, link_b)
+    a_groups, b_groups = np.searchsorted(a_end, cuts, "right"), np.searchsorted(b_end, cuts, "right")
+    return Alignment(a, b, cuts, a_groups, b_groups, link_a, link_b)
 
 
 def _before(groups: np.ndarray, other: np.ndarray, inclusive: bool) -> np.ndarray:
@@ -171,8 +203,8 @@ def _before(groups: np.ndarray, other: np.ndarray, inclusive: bool) -> np.ndarra
     return upto[own + inclusive]
 
 
-def groups_text(found: Alignment, tokens: Tokenizers) -> str:
-    """Groups as ``a1,a2|b1;a3|b2,b3``: the ids of either side in order."""
+def _groups(found: Alignment, tokens: Tokenizers) -> list[str]:
+    """Groups as ``a1,a2|b1;a3|b2,b3;``: the ids of either side in order, each with what follows it."""
     texts: list = [""] * (len(found.a) + len(found.b))
     for ids, own, other, vocabulary, later in (
         (found.a, found.a_groups, found.b_groups, tokens.of_a, False),
@@ -183,29 +215,64 @@ def groups_text(found: Alignment, tokens: Tokenizers) -> str:
         place = np.arange(len(ids)) + _before(own, other, later)
         for at, text in zip(place.tolist(), map(vocabulary.texts.__getitem__, (2 * ids + last).tolist()), strict=True):
             texts[at] = text
-    return "".join(texts)[:-1]
-
-
-def _row(found: Alignment | None, tokens: Tokenizers) -> tuple:
+    return texts
+
+
+def _encoded(texts: list[str], tokens: Tokenizers) -> tuple[list, list]:
+    encodings = tokens.a.encode_batch([f" {text}" for text in texts], add_special_tokens=False)
+    return encodings, tokens.b.encode(texts, return_type="proto", num_threads=1)
+
+
+def align_words(words: list[str], encodings: list, protos: list, tokens: Tokenizers) -> list[Word | None]:
+    """The alignment of each word; None where either side has other bytes than it."""
+    found = align(words, encodings, protos, tokens)
+    if found is None:  # at least one: look for it in both halves
+        half = len(words) // 2
+        halves = (slice(0, half), slice(half, None)) if half else ()
+        return list(chain.from_iterable(align_words(words[h], encodings[h], protos[h], tokens) for h in halves)) or [None]
+    last = [np.cumsum([len(e) for e in encodings]), np.cumsum([len(p.pieces) for p in protos])]
+    group = np.searchsorted(found.a_groups, last[0], "right")
+    link = np.append(0, np.searchsorted(found.link_a, last[0])).tolist()
+    pairs = (found.a[found.link_a] << 32 | found.b[found.link_b]).tobytes()
+    texts = _groups(found, tokens)
+    text = np.append(0, last[0] + last[1]).tolist()
+    counts = (np.diff(x, prepend=0).tolist() for x in (*last, group))
+    return [
+        Word(*n, "".join(texts[text[i] : text[i + 1]])[:-1], pairs[8 * link[i] : 8 * link[i + 1]])
+        for i, n in enumerate(zip(*counts, strict=True))
+    ]
+
+
+def _row(found: list[Word | None]) -> tuple:
     """Counts, the digest, and the distinct id pairs with how often each is linked."""
-    if found is None:
+    if not found or None in found:
         none = np.empty(0, np.int32)
         return 0, 0, 0, 0, "", none, none, none
-    pairs = found.a[found.link_a] << 32 | found.b[found.link_b]
-    pairs.sort()
+    n_a, n_b, n_groups, groups, linked = zip(*found, strict=True)
+    pairs = np.sort(np.frombuffer(b"".join(linked), np.int64))
     first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
     pair, times = pairs[first], np.diff(first, append=len(pairs))
-    digest = hashlib.sha256(groups_text(found, tokens).encode()).hexdigest()
+    digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
     ids = ((pair >> 32).astype(np.int32), (pair & 0xFFFFFFFF).astype(np.int32), times.astype(np.int32))
-    return len(found.a), len(found.b), len(found.cuts), len(pairs), digest, *ids
-
-
-def alignments(texts: list[str | None], tokens: Tokenizers) -> Iterator[Alignment | None]:
-    """Alignments of some texts."""
-    plain = [text or "" for text in texts]
-    encodings = tokens.a.encode_batch([f" {text}" for text in plain], add_special_tokens=False)
-    protos = tokens.b.encode(plain, return_type="proto", num_threads=1)
-    yield from (align(*each, tokens) for each in zip(texts, encodings, protos, strict=True))
+    return sum(n_a), sum(n_b), sum(n_groups), len(pairs), digest, *ids
+
+
+def alignments(texts: list[str | None], tokens: Tokenizers, short: int = SHORT, remembered: int = REMEMBERED) -> list[tuple]:
+    """Counts, digest and id pairs of some texts."""
+    cut = [(_BETWEEN.split(text) if tokens.in_words else [text]) if text else [] for text in texts]
+    known = tokens.known
+    new = list({word: None for words in cut for word in words if word not in known})
+    own = dict(zip(new, align_words(new, *_encoded(new, tokens), tokens), strict=True)) if new else {}
+    rows = []
+    for text, words in zip(texts, cut, strict=True):
+        found = [known[word] if word in known else own[word] for word in words]
+        if None in found and len(words) > 1:
+            found = align_words([text], *_encoded([text], tokens), tokens)
+        rows.append(_row(found))
+    if len(known) + len(own) > remembered:
+        known.clear()
+    known.update((word, one) for word, one in own.items() if len(word) <= short)
+    return rows
 
 
 def _aligner(folder: str, byte_bpe: str, pieces: str):
@@ -214,8 +281,7 @@ def _aligner(folder: str, byte_bpe: str, pieces: str):
         for batch in batches:
             for start in range(0, len(batch), _BATCH):
                 part = batch.slice(start, _BATCH)
-                found = alignments(part.column("text").to_pylist(), tokens)
-                rows = [_row(each, tokens) for each in found]
+                rows = alignments(part.column("text").to_pylist(), tokens)
                 counts, lists = [list(x) for x in zip(*rows, strict=True)], pa.list_(pa.int32())
                 columns = {"id": part.column("id"), "row": part.column("row")}
                 columns |= {f"n_{n}": pa.array(counts[i], pa.int64()) for i, n in enumerate(("a", "b", "groups", "links"))}

@@ -97,6 +97,22 @@ def test_texts_of_all_kinds(spark, tokens):
         assert {r[0]: tuple(r)[1:] for r in rows} == wanted
 
 
+def test_words_are_cut_where_no_token_lies_across(tokens):
+    assert tokens.in_words
+    assert ta._BETWEEN.split(" a b  c \n d\xa0 e ▁ f ") == [" a", "b", " c", "\n d\xa0 e", "▁", "f "]
+    rng = random.Random(5)
+    pool = ["word", "é", "文字", "😀", "\n", "  ", " ", "\t", "\xa0", "\u3000", "\x1c", "'s", "12", "…", "\u0301", "\u200b", "<s>", "a" * 90]
+    texts = ["".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    whole = tokens._replace(in_words=False, known={})
+    wanted = [[str(x) for x in row] for row in ta.alignments(texts, whole)]
+    for remembered in (ta.REMEMBERED, 5, 0):
+        own = tokens._replace(known={})
+        for start in range(0, len(texts), 50):
+            rows = ta.alignments(texts[start : start + 50], own, remembered=remembered)
+            assert [[str(x) for x in row] for row in rows] == wanted[start : start + 50]
+        assert all(len(word) <= ta.SHORT for word in own.known)
+
+
 def test_query_over_all_documents(spark, tokens):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
@@ -114,7 +130,7 @@ def test_spans_are_cut_only_where_they_are_not_their_token_s_own(tokens, monkeyp
     refined = []
     plain = ta._refined
     monkeypatch.setattr(ta, "_refined", lambda *x: refined.append(plain(*x)) or refined[-1])
-    (found,) = ta.alignments(["é文"], tokens)
+    found = ta.align(["é文"], *ta._encoded(["é文"], tokens), tokens)
     assert [x.tolist() for x in refined] == [[3, 5, 6], [3, 6]]
     assert found.cuts.tolist() == [3, 6] and len(found.link_a) == 3
 
