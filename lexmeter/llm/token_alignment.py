@@ -41,9 +41,9 @@ PIECES = "piece_bpe_32k.model"
 #: Id pairs up to which their counts are broadcast; more are joined by a shuffle.
 LOOKUP = 2**20
 
-#: Words of up to so many characters are remembered, and so many of them in a process.
+#: Words of up to so many characters are remembered, and about twice so many of them in a process.
 SHORT = 64
-REMEMBERED = 2**16
+REMEMBERED = 2**17
 
 _SPACE = "▁"
 _BETWEEN = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
@@ -77,6 +77,24 @@ class Word(NamedTuple):
     pairs: bytes  # of ids, one for each link
 
 
+class Memory:
+    """Words used lately: since the last turn, or between the last two. A turn comes after ``size`` words."""
+
+    def __init__(self, size: int = REMEMBERED, short: int = SHORT):
+        self.size, self.short = size, short
+        self.recent: dict[str, Word | None] = {}
+        self.older: dict[str, Word | None] = {}
+
+    def recall(self, words: set[str]) -> dict[str, Word | None]:
+        recent, older = self.recent, self.older
+        return {w: recent[w] if w in recent else older[w] for w in words if w in recent or w in older}
+
+    def keep(self, words: dict[str, Word | None]) -> None:
+        self.recent.update((w, found) for w, found in words.items() if len(w) <= self.short)
+        if len(self.recent) > self.size:
+            self.recent, self.older = {}, self.recent
+
+
 class Tokenizers(NamedTuple):
     """Both tokenizers of a process, and their vocabularies."""
 
@@ -85,7 +103,7 @@ class Tokenizers(NamedTuple):
     of_a: Vocabulary
     of_b: Vocabulary
     in_words: bool
-    known: dict[str, Word | None]
+    known: Memory
 
 
 class Alignment(NamedTuple):
@@ -129,7 +147,7 @@ def load(folder: str, byte_bpe: str, pieces: str) -> Tokenizers:
     b_bytes = [_piece_bytes(b.id_to_piece(i), b.is_byte(i)) for i in range(b.get_piece_size())]
     across = re.compile(r"\S ")
     in_words = not any(across.search(token.decode(errors="replace")) for token in chain(a_bytes, b_bytes))
-    return Tokenizers(a, b, Vocabulary(a_bytes, ",", "|"), Vocabulary(b_bytes, ",", ";"), in_words, {})
+    return Tokenizers(a, b, Vocabulary(a_bytes, ",", "|"), Vocabulary(b_bytes, ",", ";"), in_words, Memory())
 
 
 def _refined(coarse: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -257,21 +275,21 @@ def _row(found: list[Word | None]) -> tuple:
     return sum(n_a), sum(n_b), sum(n_groups), len(pairs), digest, *ids
 
 
-def alignments(texts: list[str | None], tokens: Tokenizers, short: int = SHORT, remembered: int = REMEMBERED) -> list[tuple]:
+def alignments(texts: list[str | None], tokens: Tokenizers) -> list[tuple]:
     """Counts, digest and id pairs of some texts."""
     cut = [(_BETWEEN.split(text) if tokens.in_words else [text]) if text else [] for text in texts]
-    known = tokens.known
-    new = list({word: None for words in cut for word in words if word not in known})
-    own = dict(zip(new, align_words(new, *_encoded(new, tokens), tokens), strict=True)) if new else {}
+    words = set(chain.from_iterable(cut))
+    own = tokens.known.recall(words)
+    new = list(words.difference(own))
+    if new:
+        own.update(zip(new, align_words(new, *_encoded(new, tokens), tokens), strict=True))
+    tokens.known.keep(own)
     rows = []
-    for text, words in zip(texts, cut, strict=True):
-        found = [known[word] if word in known else own[word] for word in words]
-        if None in found and len(words) > 1:
+    for text, parts in zip(texts, cut, strict=True):
+        found = [own[word] for word in parts]
+        if None in found and len(parts) > 1:
             found = align_words([text], *_encoded([text], tokens), tokens)
         rows.append(_row(found))
-    if len(known) + len(own) > remembered:
-        known.clear()
-    known.update((word, one) for word, one in own.items() if len(word) <= short)
     return rows
 
 

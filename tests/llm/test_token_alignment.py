@@ -103,14 +103,15 @@ def test_words_are_cut_where_no_token_lies_across(tokens):
     rng = random.Random(5)
     pool = ["word", "é", "文字", "😀", "\n", "  ", " ", "\t", "\xa0", "\u3000", "\x1c", "'s", "12", "…", "\u0301", "\u200b", "<s>", "a" * 90]
     texts = ["".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
-    whole = tokens._replace(in_words=False, known={})
+    whole = tokens._replace(in_words=False, known=ta.Memory())
     wanted = [[str(x) for x in row] for row in ta.alignments(texts, whole)]
-    for remembered in (ta.REMEMBERED, 5, 0):
-        own = tokens._replace(known={})
+    for size in (ta.REMEMBERED, 200, 0):
+        own = tokens._replace(known=ta.Memory(size))
         for start in range(0, len(texts), 50):
-            rows = ta.alignments(texts[start : start + 50], own, remembered=remembered)
+            rows = ta.alignments(texts[start : start + 50], own)
             assert [[str(x) for x in row] for row in rows] == wanted[start : start + 50]
-        assert all(len(word) <= ta.SHORT for word in own.known)
+            assert len(own.known.recent) <= size
+        assert all(len(word) <= ta.SHORT for word in own.known.older)
 
 
 def test_query_over_all_documents(spark, tokens):
