@@ -24,6 +24,7 @@ from lexmeter.operators.text import (
 from lexmeter.plans.jobs import (
     price_length_correlation,
     review_tfidf,
+    review_tfidf_top,
     write_review_tfidf,
 )
 from lexmeter.sources.landing import Landed, land, write_tfidf
@@ -48,6 +49,7 @@ __all__ = [
     "read_reviews",
     "read_texts",
     "review_tfidf",
+    "review_tfidf_top",
     "term_counts",
     "term_frequency",
     "tf_top",

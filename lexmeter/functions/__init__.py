@@ -6,6 +6,7 @@ from lexmeter.functions.words import (
     space_word_count,
     usable_price,
     word_array,
+    word_count,
 )
 
-__all__ = ["has_word", "parse_price", "space_word_count", "usable_price", "word_array"]
+__all__ = ["has_word", "parse_price", "space_word_count", "usable_price", "word_array", "word_count"]

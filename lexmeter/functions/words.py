@@ -18,6 +18,11 @@ def has_word(text: Column) -> Column:
     return F.coalesce(text.rlike(WORD_CHAR), F.lit(False))
 
 
+def word_count(text: Column) -> Column:
+    """Number of words in a text, without splitting it: each is a run of word characters."""
+    return F.regexp_count(text, F.lit(f"{WORD_CHAR}+"))
+
+
 def space_word_count(text: Column) -> Column:
     """Number of pieces between single spaces: ``''`` has 1, a double space adds 2.
 

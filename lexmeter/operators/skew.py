@@ -20,6 +20,9 @@ SALT = "_salt"
 #: Hot keys that are told apart at most, and those a sketch of them tracks.
 MOST_HOT = 4096
 TRACKED = 16384
+#: Keys that are broadcast as frequent at most, and rows that a key needs to be one.
+FREQUENT = 2**18
+FEW = 64
 
 
 def with_pieces(weights: DataFrame, weight: str) -> DataFrame:
@@ -59,6 +62,28 @@ def join_salted(
     return left.join(right, same).select(*rows.columns, *values)
 
 
+def join_frequent(
+    rows: DataFrame, lookup: DataFrame, key: str, weight: str, total: Column
+) -> DataFrame:
+    """Inner-join ``lookup``, one row per ``key``, onto ``rows``; rows of frequent keys stay where they are.
+
+    A key is frequent if its weight exceeds ``FEW`` and a share of ``1 / FREQUENT`` of ``total``, which no sum of
+    weights may exceed. So there are always fewer than ``FREQUENT``, and their lookup rows are broadcast. The
+    rest is shuffled; none of its keys is hot. ``weight`` is never NULL, and NULL keys match.
+    ``total`` should not read ``rows``: a subquery is planned on its own and may not share their exchange.
+    """
+    often = (F.col(weight) > FEW) & (F.col(weight).cast("double") * FREQUENT > total)
+    values = [name for name in lookup.columns if name != key]
+    frequent = lookup.where(often).select(F.col(key).alias("_frequent"), *values)
+    # An outer join and a test, as semi and anti joins would be pushed below the rows' aggregate.
+    marked = rows.join(F.broadcast(frequent), F.col(key).eqNullSafe(F.col("_frequent")), "left")
+    heavy = marked.where(F.col(weight).isNotNull()).select(*rows.columns, *values)
+    light = marked.where(F.col(weight).isNull()).select(*rows.columns)
+    rare = lookup.where(~often).select(F.col(key).alias("_rare"), *values)
+    light = light.join(rare, F.col(key).eqNullSafe(F.col("_rare"))).select(*rows.columns, *values)
+    return heavy.unionByName(light)
+
+
 def heavy_hashes(rows: DataFrame, key: str) -> DataFrame:
     """``_hot``: hashes of the keys that exceed an average shuffle partition, by one small aggregate.
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmeter.functions.fixed import KEY, TEXT, TIE_PLACES, TOP_ROWS
-from lexmeter.functions.words import has_word, word_array
-from lexmeter.operators.skew import join_salted
+from lexmeter.functions.words import has_word, word_array, word_count
+from lexmeter.operators.skew import join_frequent, join_salted
 
 WORD = "each_word"
 DOC_LENGTH = "_doc_length"
@@ -60,7 +60,7 @@ def term_counts(reviews: DataFrame, key: str = KEY, text: str = TEXT) -> DataFra
 def document_lengths(counts: DataFrame, key: str = KEY) -> DataFrame:
     """Number of words per document, and of its rows in ``counts``, its different words."""
     rows = F.count(F.lit(1)).alias(DOC_ROWS)
-    return counts.groupBy(key).agg(F.sum("num_words").alias(DOC_LENGTH), rows)
+    return _present(counts).groupBy(key).agg(F.sum("num_words").alias(DOC_LENGTH), rows)
 
 
 def _present(counts: DataFrame) -> DataFrame:
@@ -88,6 +88,27 @@ def _with_tf(counts: DataFrame, key: str) -> DataFrame:
     return joined.withColumn("tf", F.col("num_words") / F.col(DOC_LENGTH))
 
 
+def _with_lengths(
+    reviews: DataFrame, key: str, text: str
+) -> tuple[DataFrame, DataFrame]:
+    """Term counts with the length of their document, and the lengths of all documents.
+
+    Lengths meet the texts before these are split: a text is one row, its words are hundreds. From term
+    counts, lengths take two more shuffles of about as many rows as the counts have.
+    """
+    texts = reviews.select(key, text).where(has_word(F.col(text)))
+    lengths = texts.groupBy(key).agg(F.sum(word_count(F.col(text))).alias(DOC_LENGTH))
+    joined = join_frequent(texts, lengths, key, DOC_LENGTH, _all_words(lengths))
+    words = joined.select(key, DOC_LENGTH, F.explode(word_array(F.col(text))).alias(WORD))
+    words = words.where(F.length(WORD) > 0).select(key, DOC_LENGTH, F.lower(WORD).alias(WORD))
+    counts = words.groupBy(key, DOC_LENGTH, WORD).agg(F.count(F.lit(1)).alias("num_words"))
+    return counts, lengths
+
+
+def _all_words(lengths: DataFrame) -> Column:
+    return lengths.agg(F.sum(DOC_LENGTH)).scalar()
+
+
 def _with_idf(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     frequency = document_frequency(counts)
     joined = join_salted(rows, frequency, WORD, "docs_with_term", F.col(key))
@@ -95,6 +116,17 @@ def _with_idf(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     return joined.withColumn("idf", F.ln(ratio))
 
 
+def _with_idf_of(rows: DataFrame, counts: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``_with_idf`` where the lengths of all documents are known."""
+    frequency = document_frequency(counts)
+    joined = join_frequent(rows, frequency, WORD, "docs_with_term", _all_words(lengths))
+    return joined.withColumn("idf", F.ln(_documents(lengths) / F.col("docs_with_term")))
+
+
+def _documents(lengths: DataFrame) -> Column:
+    return lengths.agg(F.count(DOC_LENGTH)).scalar()
+
+
 def term_frequency(counts: DataFrame, key: str = KEY) -> DataFrame:
     """Share of a document's words that are this word."""
     return _with_tf(counts, key).select(key, WORD, "tf")
@@ -105,24 +137,30 @@ def inverse_document_frequency(counts: DataFrame, key: str = KEY) -> DataFrame:
     return _with_idf(counts, counts, key).select(WORD, key, "docs_with_term", "idf")
 
 
+def _keyed(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of documents with a key; those without one have no score.
+
+    tf is tested, not the key: a test of the key would be pushed below the shared exchange.
+    """
+    tf = F.when(F.col(key).isNotNull(), F.col("tf"))
+    return rows.withColumn("tf", tf).where(F.col("tf").isNotNull())
+
+
+def _scored(rows: DataFrame, key: str) -> DataFrame:
+    value = (F.col("tf") * F.col("idf")).alias("tfidf")
+    return _keyed(rows, key).select(key, WORD, "tf", "docs_with_term", "idf", value)
+
+
 def tfidf(counts: DataFrame, key: str = KEY) -> DataFrame:
     """Term frequency times inverse document frequency, with both factors."""
-    scored = _with_idf(_with_tf(counts, key), counts, key)
-    # tf is tested, not the key: a test of the key would be pushed below the
-    # shared exchange. Documents without a key have no score.
-    tf = F.when(F.col(key).isNotNull(), F.col("tf"))
-    return (
-        scored.withColumn("tf", tf)
-        .where(F.col("tf").isNotNull())
-        .select(
-            key,
-            WORD,
-            "tf",
-            "docs_with_term",
-            "idf",
-            (F.col("tf") * F.col("idf")).alias("tfidf"),
-        )
-    )
+    return _scored(_with_idf(_with_tf(counts, key), counts, key), key)
+
+
+def tfidf_of_texts(reviews: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
+    """``tfidf`` from texts: their words are shuffled once, and a second time only if they are rare."""
+    counts, lengths = _with_lengths(reviews, key, text)
+    tf = F.col("num_words") / F.col(DOC_LENGTH)
+    return _scored(_with_idf_of(counts.withColumn("tf", tf), counts, lengths), key)
 
 
 def tf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFrame:
@@ -177,7 +215,12 @@ def idf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFram
     )
 
 
+def highest(scored: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of a TF-IDF table that ``tfidf_top`` lists."""
+    order = [F.desc(F.round("tfidf", TIE_PLACES)), F.asc(key), F.asc(WORD)]
+    return scored.orderBy(*order).limit(rows)
+
+
 def tfidf_top(counts: DataFrame, key: str = KEY, rows: int = TOP_ROWS) -> DataFrame:
     """The rows with the highest tf-idf; values equal to ``TIE_PLACES`` places are a tie."""
-    order = [F.desc(F.round("tfidf", TIE_PLACES)), F.asc(key), F.asc(WORD)]
-    return tfidf(counts, key).orderBy(*order).limit(rows)
+    return highest(tfidf(counts, key), key, rows)

@@ -12,13 +12,28 @@ from lexmeter.operators.correlate import (
     pearson,
     price_vs_length,
 )
-from lexmeter.operators.text import WORD, idf_top, term_counts, tf_top, tfidf
+from lexmeter.operators.text import (
+    WORD,
+    highest,
+    idf_top,
+    term_counts,
+    tf_top,
+    tfidf,
+    tfidf_of_texts,
+)
 from lexmeter.sources.landing import write_tfidf
 
 
 def review_tfidf(reviews: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
     """TF-IDF of every word of every document."""
-    return tfidf(term_counts(reviews, key, text), key)
+    return tfidf_of_texts(reviews, key, text)
+
+
+def review_tfidf_top(
+    reviews: DataFrame, key: str = KEY, text: str = TEXT, rows: int = TOP_ROWS
+) -> DataFrame:
+    """The rows of ``review_tfidf`` with the highest values."""
+    return highest(review_tfidf(reviews, key, text), key, rows)
 
 
 def write_review_tfidf(

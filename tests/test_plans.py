@@ -96,3 +96,16 @@ def test_tf_top_sums_only_the_documents_it_lists(counts):
     plan = plan_of(lm.tf_top(counts, "doc_id"))
     below = plan[plan.index("partial_sum(num_words") :]
     assert "BroadcastHashJoin" in below[: below.index("partial_count")]
+
+
+@pytest.mark.parametrize("name", ["tfidf_documents", "tfidf_top_documents", "tfidf", "tfidf_top"])
+def test_no_subquery_prunes_the_counts_and_splits_texts_again(spark, name):
+    plan = plan_of(__spark_entry__.queries()[name](spark, SF_DIR))
+    assert re.search(r"keys=\[(doc|conv)_id#\d+L?, .*each_word#\d+\], functions=\[partial_count", plan)
+    assert not re.search(r"keys=\[(doc|conv)_id#\d+L?, each_word#\d+\], functions=\[\]", plan)
+
+
+def test_words_take_one_shuffle_by_document_and_the_lengths_none(spark):
+    plan = plan_of(__spark_entry__.queries()["tfidf_documents"](spark, SF_DIR))
+    sums = re.findall(r"keys=\[doc_id#\d+L?\], functions=\[partial_(.{30})", plan)
+    assert sums and set(sums) == {"sum(size(regexp_extract_all(te"}

@@ -7,7 +7,7 @@ from helpers import PRICES, REVIEWS, brute_pearson, brute_tfidf, executed_nodes
 from pyspark.sql import functions as F
 
 import lexmeter as lm
-from lexmeter.operators.skew import hot_keys, join_heavy_light, join_salted, with_pieces
+from lexmeter.operators.skew import hot_keys, join_frequent, join_heavy_light, join_salted, with_pieces
 from lexmeter.operators.text import DOC_ROWS, WORD, document_lengths
 
 
@@ -167,6 +167,25 @@ def test_texts_are_read_once_beside_a_hot_product(spark, joins, tmp_path):
     assert nodes["Scan reviewText"] == 1
 
 
+@pytest.mark.parametrize("few", [0, 3, 10**6])
+def test_rows_of_frequent_keys_are_not_shuffled(spark, joins, monkeypatch, few):
+    monkeypatch.setattr("lexmeter.operators.skew.FREQUENT", 20)
+    monkeypatch.setattr("lexmeter.operators.skew.FEW", few)
+    keys = [None, *"aaaaaaaaaaaaaaaaaaaabbbbbbbbbbccdefghi"]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v int")
+    weights = spark.createDataFrame([(k, keys.count(k)) for k in set(keys) - {"i"}], "k string, n long")
+    total = weights.agg(F.sum("n")).scalar()
+    got = sorted(map(tuple, join_frequent(rows, weights, "k", "n", total).collect()), key=repr)
+    assert got == sorted(((k, i, keys.count(k)) for i, k in enumerate(keys) if k != "i"), key=repr)
+
+
+@pytest.mark.parametrize("text", [None, "", " !", "_"])
+def test_texts_without_a_word_have_no_scores(spark, text):
+    reviews = spark.createDataFrame([("a", text)], REVIEWS)
+    assert lm.review_tfidf(reviews).count() == 0
+    assert lm.review_tfidf_top(reviews).count() == 0
+
+
 def test_joins_without_rows(spark):
     rows = spark.createDataFrame([], "k string, v int")
     lookup = spark.createDataFrame([("a", 1)], "k string, w int")
