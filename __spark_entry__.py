@@ -202,8 +202,8 @@ def tfidf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_top_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = lm.term_counts(_documents(spark, sf_dir), DOC, "text")
-    return _rounded(lm.tfidf_top(counts, DOC), "idf", "tfidf")
+    result = lm.review_tfidf_top(_documents(spark, sf_dir), DOC, "text")
+    return _rounded(result, "idf", "tfidf")
 
 
 def pearson_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
