@@ -48,6 +48,9 @@ REMEMBERED = 2**17
 _SPACE = "▁"
 _BETWEEN = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
 _BATCH = 256
+#: Words that are encoded as one text, and at least.
+_TOGETHER = 512
+_FEWEST = 8
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a array<int>, b array<int>, times array<int>"
 
 
@@ -87,7 +90,10 @@ class Memory:
 
     def recall(self, words: set[str]) -> dict[str, Word | None]:
         recent, older = self.recent, self.older
-        return {w: recent[w] if w in recent else older[w] for w in words if w in recent or w in older}
+        found = {w: recent[w] for w in words & recent.keys()}
+        again = {w: older[w] for w in words & older.keys() if w not in found}
+        recent.update(again)
+        return found | again
 
     def keep(self, words: dict[str, Word | None]) -> None:
         self.recent.update((w, found) for w, found in words.items() if len(w) <= self.short)
@@ -250,6 +256,11 @@ def align_words(words: list[str], encodings: list, protos: list, tokens: Tokeniz
         return list(chain.from_iterable(align_words(words[h], encodings[h], protos[h], tokens) for h in halves)) or [None]
     last = [np.cumsum([len(e) for e in encodings]), np.cumsum([len(p.pieces) for p in protos])]
     group = np.searchsorted(found.a_groups, last[0], "right")
+    return _words(found, last, group, tokens)
+
+
+def _words(found: Alignment, last: list[np.ndarray], group: np.ndarray, tokens: Tokenizers) -> list[Word | None]:
+    """The alignment of each word, given how many tokens of either side and groups there are up to its end."""
     link = np.append(0, np.searchsorted(found.link_a, last[0])).tolist()
     pairs = (found.a[found.link_a] << 32 | found.b[found.link_b]).tobytes()
     texts = _groups(found, tokens)
@@ -261,6 +272,40 @@ def align_words(words: list[str], encodings: list, protos: list, tokens: Tokeniz
     ]
 
 
+def _joined(words: list[str], tokens: Tokenizers) -> list[Word | None]:
+    """``align_words`` of words that are encoded together, as one text that would be cut into them.
+
+    Each word is followed by a cut, so its tokens are its own; the ends of words are looked up
+    among those of the tokens. Where one is missing, or bytes differ, it is looked for in both halves, and
+    few words are encoded each for itself.
+    """
+    text = " ".join(words)
+    found = align([text], *_encoded([text], tokens), tokens)
+    ends = np.cumsum([len(word.encode()) + 1 for word in words])
+    if found is None or not len(found.cuts) or not np.array_equal(
+        found.cuts[np.minimum(np.searchsorted(found.cuts, ends), len(found.cuts) - 1)], ends
+    ):
+        half = len(words) // 2
+        if half >= _FEWEST:
+            return _joined(words[:half], tokens) + _joined(words[half:], tokens)
+        return align_words(words, *_encoded(words, tokens), tokens)
+    group = np.searchsorted(found.cuts, ends, "right")
+    return _words(found, [found.a_groups[group - 1], found.b_groups[group - 1]], group, tokens)
+
+
+def _aligned(words: list[str], tokens: Tokenizers) -> list[Word | None]:
+    """The alignment of each new word. Words with a space at the end would join with the next one's."""
+    together = [word for word in words if tokens.in_words and not word[-1].isspace()]
+    alone = [word for word in words if not tokens.in_words or word[-1].isspace()]
+    found = {}
+    for start in range(0, len(together), _TOGETHER):
+        part = together[start : start + _TOGETHER]
+        found.update(zip(part, _joined(part, tokens), strict=True))
+    if alone:
+        found.update(zip(alone, align_words(alone, *_encoded(alone, tokens), tokens), strict=True))
+    return [found[word] for word in words]
+
+
 def _row(found: list[Word | None]) -> tuple:
     """Counts, the digest, and the distinct id pairs with how often each is linked."""
     if not found or None in found:
@@ -282,8 +327,9 @@ def alignments(texts: list[str | None], tokens: Tokenizers) -> list[tuple]:
     own = tokens.known.recall(words)
     new = list(words.difference(own))
     if new:
-        own.update(zip(new, align_words(new, *_encoded(new, tokens), tokens), strict=True))
-    tokens.known.keep(own)
+        found = dict(zip(new, _aligned(new, tokens), strict=True))
+        tokens.known.keep(found)
+        own |= found
     rows = []
     for text, parts in zip(texts, cut, strict=True):
         found = [own[word] for word in parts]

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from lexmeter.llm import token_alignment as ta
@@ -145,3 +146,15 @@ def test_awkward_rows(spark, awkward, empty, tokens):
     assert ta.align_tokens(empty).count() == 0
     renamed = awkward.withColumnRenamed("doc_id", "n_a0").drop("doc_id")
     assert ta.align_tokens(renamed, id="n_a0").columns[0] == "n_a0"
+
+
+def test_new_words_are_encoded_together(monkeypatch):
+    tokens = ta.load(ta.FOLDER, ta.BYTE_BPE, ta.PIECES)._replace(known=ta.Memory())
+    texts = [" ".join(f"wörd{i * i}x{i}" for i in range(1000)), "a  b\n c ", " x  y", "t  ", "▁ z", "e ́"]
+    encoded, encode = [], ta._encoded
+    monkeypatch.setattr(ta, "_encoded", lambda some, tokens: encoded.append(len(some)) or encode(some, tokens))
+    rows = ta.alignments(texts, tokens)
+    assert sum(encoded) < 150
+    for text, row in zip(texts, rows, strict=True):
+        whole = ta._row(ta.align_words([text], *encode([text], tokens), tokens))
+        assert [np.array_equal(x, y) for x, y in zip(row, whole, strict=True)] == [True] * 8
