@@ -28,6 +28,7 @@ except ModuleNotFoundError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 CONV = "conv_id"
 DOC = "doc_id"
+FILE_SIZE = 2**25
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +60,14 @@ def _as_csv(table: DataFrame, folder: str) -> str:
     return f"{folder}/csv"
 
 
+def _in_files(table: DataFrame, key: str, size: int = FILE_SIZE) -> DataFrame:
+    """The table dealt by a key over files of about ``size`` bytes of text, 8 at least."""
+    lengths = [F.octet_length(F.col(name).cast("string")) for name in table.columns]
+    size_of_row = sum((F.coalesce(n, F.lit(0)) for n in lengths), F.lit(0).cast("long"))
+    total = table.agg(F.sum(size_of_row)).first()[0] or 0
+    return table.repartition(max(8, -(-total // size)), key)
+
+
 def _rounded(table: DataFrame, *names: str) -> DataFrame:
     return table.withColumns({name: F.round(name, 6) for name in names})
 
@@ -142,11 +151,11 @@ def csv_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_reviews_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of documents, with their line breaks, written as several CSV files that are read in parallel."""
+    """Texts of documents, with their line breaks, written as CSV files of bounded size that are read in parallel."""
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "source", F.col(DOC).alias("asin"), F.col("text").alias("reviewText")
     )
-    return lm.read_reviews(spark, _as_csv(table.repartition(8, "asin"), new_folder(spark)))
+    return lm.read_reviews(spark, _as_csv(_in_files(table, "asin"), new_folder(spark)))
 
 
 def _uneven_documents(spark: SparkSession, sf_dir: str) -> lm.Landed:

@@ -39,3 +39,20 @@ def test_entry(spark):
 def test_bench_covers_the_registered_queries():
     assert set(__spark_entry__.library_sql()) == set(__spark_entry__.library_queries())
     assert bench.SF_DIR
+
+
+@pytest.mark.parametrize("size", [2**25, 20_000])
+def test_csv_files_do_not_grow_with_the_table(spark, size):
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    dealt = __spark_entry__._in_files(table, "doc_id", size)
+    sizes = dealt.selectExpr("spark_partition_id() AS p", "octet_length(text) + 8 AS n").groupBy("p").sum("n").collect()
+    total = sum(row[1] for row in sizes)
+    assert dealt.count() == table.count()
+    assert len(sizes) > 4 and max(row[1] for row in sizes) < max(4 * size, total)
+    if size < total / 8:
+        assert len(sizes) > 8
+
+
+def test_the_files_of_a_table_without_rows(spark):
+    table = spark.createDataFrame([], "asin string, reviewText string")
+    assert __spark_entry__._in_files(table, "asin").count() == 0
