@@ -1,14 +1,18 @@
-"""Similarity join of shingle sets: signature trees over lists of shared shingles.
+"""Similarity join of shingle sets: signature trees over lists of shared shingles or parts.
 
 Sets with a similarity of s or more share a shingle among the first ``n - ceil(s n) + 1`` of each, in
-any common order of all shingles. So each set is listed under its first ones, and all links lie
-within lists. The order is that of hashes, but for frequent shingles of the first quarter: they
-come after its other ones.
-
-The members of a list are the leaves of a signature tree. A node holds the bitmaps of its
-sets combined with OR, the range of their sizes, and the most shingles that share a bit in one
-of them. Two nodes are visited together: the bits they have in common bound how many shingles any
-of their sets can share, and where that is too few, or where all sets are one component
+any common order of all shingles. So each small set is listed under its first ones. The order is that of
+hashes, but for frequent shingles of the first quarter: they come after its other ones.
+
+Large sets share single shingles by chance. Linked sets of n and m shingles differ in at most
+``(n + m) (1 - s) / (1 + s)`` of them, so if all hashes are cut into more parts than that, they agree on
+one whole part. Large sets are listed under their parts; how many there are is told by a class of sizes, and
+a set also joins the classes of larger sets it can be linked to. All links lie within lists.
+
+The members of a list are the leaves of a signature tree. A leaf's bits tell whether it has an odd number of
+shingles for each; where the bits of two sets differ, at least one shingle is in one of them only. A node
+holds the bits of its sets combined with OR and with AND, and the range of their sizes. Two nodes are visited
+together: where their sets must differ in too many bits, or where all sets are one component
 already, nothing below is visited.
 
 What is wanted are components, so copies need not meet in all pairs. In the first rounds each member
@@ -20,6 +24,7 @@ blocks of their own, and in the last round members outside the largest component
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -47,6 +52,10 @@ FAN = 8
 #: A shingle in so many documents comes last in the order; at most so many are told apart that way.
 FREQUENT = 64
 FLAGGED = 2**20
+#: Sets of so many shingles are listed under parts, smaller ones under their first shingles.
+LARGE = 128
+#: Shingles of a part, about, below which all sets are listed under their first shingles: many parts would be empty.
+FEWEST = 5
 #: Rows up to which the ids of needed texts are broadcast; more are joined by a shuffle.
 LOOKUP = 2**20
 #: Pairs of one set, about, that are verified together.
@@ -55,6 +64,7 @@ CHUNK = 256
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _SHIFT = np.uint64(33)
+_HALF = np.uint64(32)
 #: Shingles are counted in this part of all hashes, the first in the order.
 _LOW = np.uint64(2**62)
 _WORDS = 8
@@ -78,6 +88,14 @@ class Similarity(NamedTuple):
         """How many first shingles of a set any linked set has one of."""
         return size - -(-self.share * size // self.part) + 1
 
+    def apart(self, sizes):
+        """The most shingles that only one of two linked sets has, given the sum of their sizes."""
+        return sizes * (self.part - self.share) // (self.part + self.share)
+
+    def largest(self, size: int) -> int:
+        """The size of the largest set that one of this size can be linked to."""
+        return size * self.part // self.share
+
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Distinct hashes of the word shingles, sorted; of all words together if they are fewer."""
@@ -91,8 +109,12 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     total = np.full(number, size, np.uint64)
     for i in range(size):
         total += hashes[i : i + number] * np.uint64(pow(_BASE, i, 2**64))
-    total = (total ^ total >> _SHIFT) * _MIX
-    return np.unique(total ^ total >> _SHIFT)
+    return np.unique(_mixed(total))
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ values >> _SHIFT) * _MIX
+    return values ^ values >> _SHIFT
 
 
 def node_of(own: np.ndarray) -> int:
@@ -102,10 +124,38 @@ def node_of(own: np.ndarray) -> int:
 
 
 def bitmap(own: np.ndarray) -> np.ndarray:
-    """512 bits, one or more set for each shingle."""
-    bits = np.zeros(64 * _WORDS, np.uint8)
-    bits[(own % np.uint64(64 * _WORDS)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view("<i8")
+    """512 bits, each set if an odd number of shingles falls on it."""
+    bits = np.bincount((own % np.uint64(64 * _WORDS)).astype(np.int64), minlength=64 * _WORDS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def size_classes(large: int) -> list[int]:
+    """The smallest size of each class of large sets, rising."""
+    lows = [max(large, 1)]
+    while lows[-1] < 2**31:
+        lows.append(max(lows[-1] + 1, lows[-1] * 3 // 2))
+    return lows
+
+
+def parts(own: np.ndarray, similarity: Similarity, lows: list[int]) -> np.ndarray:
+    """Hashes of a set's parts, for each class of sizes that holds a set it can be the smaller or equal one of a link with.
+
+    A class has more parts than linked sets of its sizes can differ in, so they agree on some: at least on one
+    more than the spare ones. Parts without shingles are left out unless a set has more of those than spare ones.
+    """
+    size, found = len(own), [np.empty(0, np.uint64)]
+    largest = similarity.largest(size)
+    for number in range(max(bisect_right(lows, size) - 1, 0), bisect_right(lows, largest) if size else 0):
+        top = lows[number + 1] - 1
+        many = similarity.apart(2 * top) + 1
+        place = (own >> _HALF) * np.uint64(many) >> _HALF
+        first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        held, sums = place[first], np.add.reduceat(own, first)
+        if many - len(held) > many - 1 - similarity.apart(size + min(largest, top)):
+            held = np.append(held, np.setdiff1d(np.arange(many, dtype=np.uint64), held))
+            sums = np.append(sums, np.zeros(many - len(sums), np.uint64))
+        found.append(_mixed(sums + (held + np.uint64(number + 1 << 32)) * np.uint64(_BASE)))
+    return np.concatenate(found)
 
 
 def _head(own: np.ndarray, similarity: Similarity) -> np.ndarray:
@@ -113,8 +163,9 @@ def _head(own: np.ndarray, similarity: Similarity) -> np.ndarray:
     return own[: max(int(np.searchsorted(own, _LOW)), similarity.first(len(own)))] if len(own) else own
 
 
-def _describe(shingle: int, similarity: Similarity):
-    """A function from texts to their node, size, bitmap and head."""
+def _describe(shingle: int, similarity: Similarity, large: int):
+    """A function from texts to their node, size, bitmap, and head or parts."""
+    lows = size_classes(large)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,8 +175,10 @@ def _describe(shingle: int, similarity: Similarity):
             columns["node"] = pa.array(list(map(node_of, sets)), pa.int64())
             columns["size"] = pa.array(list(map(len, sets)), pa.int32())
             columns |= {name: pa.array(maps[:, i]) for i, name in enumerate(_BITS)}
-            heads = [_head(own, similarity).view(np.int64) for own in sets]
-            yield pa.record_batch(columns | {"head": pa.array(heads, pa.list_(pa.int64()))})
+            heads = [_head(own[: len(own) * (len(own) < large)], similarity).view(np.int64) for own in sets]
+            cut = [parts(own, similarity, lows).view(np.int64) for own in sets]
+            lists = {"head": pa.array(heads, pa.list_(pa.int64())), "parts": pa.array(cut, pa.list_(pa.int64()))}
+            yield pa.record_batch(columns | lists)
 
     return describe
 
@@ -155,15 +208,17 @@ def first_shingles(head: np.ndarray, size: int, late: np.ndarray, similarity: Si
 
 
 def _postings(shared, similarity: Similarity):
-    """A function from heads to a row for each of a set's first shingles."""
+    """A function from heads and parts to a row for each part and each of a small set's first shingles."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            heads = [h.values.to_numpy().view(np.uint64) for h in batch.column("head")]
-            firsts = [first_shingles(h, n, shared.value, similarity) for h, n in zip(heads, sizes, strict=True) if n]
-            every = np.repeat(batch.column("node").to_numpy()[sizes > 0], list(map(len, firsts)))
-            keys = np.concatenate([np.empty(0, np.uint64), *firsts]).view(np.int64)
+            lists = []
+            for head, cut, size in zip(batch.column("head"), batch.column("parts"), batch.column("size").to_pylist(), strict=True):
+                head, cut = (x.values.to_numpy().view(np.uint64) for x in (head, cut))
+                first = first_shingles(head, size, shared.value, similarity) if len(head) else head
+                lists.append(np.append(first, cut))
+            every = np.repeat(batch.column("node").to_numpy(), list(map(len, lists)))
+            keys = np.concatenate([np.empty(0, np.uint64), *lists]).view(np.int64)
             yield pa.record_batch({"key": pa.array(keys), "node": pa.array(every, pa.int64())})
 
     return post
@@ -172,10 +227,10 @@ def _postings(shared, similarity: Similarity):
 class Level(NamedTuple):
     """The nodes of all trees of a batch at one height, tree after tree."""
 
-    bits: np.ndarray
+    bits: np.ndarray  # set in any of the sets, and in all of them
+    always: np.ndarray
     low: np.ndarray
     high: np.ndarray
-    spare: np.ndarray  # the most shingles of one set beyond its bits
     first: np.ndarray  # smallest and largest component
     last: np.ndarray
     flags: np.ndarray
@@ -186,9 +241,8 @@ class Level(NamedTuple):
 
 def build(tree: np.ndarray, bits: np.ndarray, size: np.ndarray, component: np.ndarray, flags: np.ndarray) -> list[Level]:
     """Signature trees over members that are sorted by tree, from the leaves up to one root each."""
-    spare = size - np.bitwise_count(bits).sum(1)
     none = np.arange(len(tree))
-    levels = [Level(bits, size, size, spare, component, component, flags, tree, none, none)]
+    levels = [Level(bits, bits, size, size, component, component, flags, tree, none, none)]
     while True:
         below = levels[-1]
         starts = np.flatnonzero(np.append(True, below.tree[1:] != below.tree[:-1]))
@@ -199,9 +253,9 @@ def build(tree: np.ndarray, bits: np.ndarray, size: np.ndarray, component: np.nd
         child = np.flatnonzero(within % FAN == 0)
         of = {
             "bits": np.bitwise_or.reduceat(below.bits, child, axis=0),
+            "always": np.bitwise_and.reduceat(below.always, child, axis=0),
             "low": np.minimum.reduceat(below.low, child),
             "high": np.maximum.reduceat(below.high, child),
-            "spare": np.maximum.reduceat(below.spare, child),
             "first": np.minimum.reduceat(below.first, child),
             "last": np.maximum.reduceat(below.last, child),
             "flags": np.bitwise_or.reduceat(below.flags, child),
@@ -221,10 +275,10 @@ def _children(level: Level, u: np.ndarray, v: np.ndarray, leaves: bool) -> tuple
     return x[once], y[once]
 
 
-def _bound(level: Level, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """The most shingles that a set below u and one below v can share."""
-    common = np.bitwise_count(level.bits[u] & level.bits[v]).sum(1) + np.minimum(level.spare[u], level.spare[v])
-    return np.minimum(common, np.minimum(level.high[u], level.high[v]))
+def _differing(level: Level, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """In how many bits at least any set below u and any below v differ."""
+    bits = level.always[u] & ~level.bits[v] | level.always[v] & ~level.bits[u]
+    return np.bitwise_count(bits).sum(1, dtype=np.int64)
 
 
 def visit(levels: list[Level], similarity: Similarity) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -240,13 +294,15 @@ def visit(levels: list[Level], similarity: Similarity) -> Iterator[tuple[np.ndar
         apart = (level.first[x] != level.last[y]) | (level.last[x] != level.first[y])
         sides = (level.flags[x] & _LEFT) * (level.flags[y] & _RIGHT) | (level.flags[y] & _LEFT) * (level.flags[x] & _RIGHT)
         x, y = x[apart & (sides > 0)], y[apart & (sides > 0)]
-        most = _bound(level, x, y)
-        # The smallest sets below need the least; sizes too far apart never suffice.
-        need = np.maximum(level.low[x], level.low[y])
-        fits = similarity.linked(most, level.low[x], level.low[y]) & (similarity.part * most >= similarity.share * need)
-        x, y, most = x[fits], y[fits], most[fits]
+        # Sizes too far apart never suffice; the largest sets below may differ the most.
+        near = similarity.part * np.minimum(level.high[x], level.high[y]) >= similarity.share * np.maximum(level.low[x], level.low[y])
+        x, y = x[near], y[near]
+        differ = _differing(level, x, y)
+        fits = differ <= similarity.apart(level.high[x] + level.high[y])
+        x, y, differ = x[fits], y[fits], differ[fits]
         if height == 0:
-            yield x, y, most
+            sizes = level.low[x], level.low[y]
+            yield x, y, np.minimum((sum(sizes) - differ) // 2, np.minimum(*sizes))
         else:
             stack += [(height, x[i : i + _FRONTIER], y[i : i + _FRONTIER]) for i in range(0, len(x), _FRONTIER)]
 
@@ -399,6 +455,7 @@ def similar_groups(
     block: int = BLOCK,
     frequent: int = FREQUENT,
     lookup: int = LOOKUP,
+    large: int = LARGE,
 ) -> DataFrame:
     """Id, ``n_shingles`` and ``component_id`` of every row; rows of connected sets share a component.
 
@@ -406,24 +463,27 @@ def similar_groups(
     shingle is one shingle. A NULL, empty or blank text has no shingles and is linked with
     nothing: its component is its own id. Equal sets are linked. NULL ids are passed over by the
     smallest; a component without any id has NULL. Repeated rows stay repeated. Shingles
-    are told apart by 64-bit hashes. ``rounds``, ``block``, ``frequent`` and ``lookup`` decide
+    are told apart by 64-bit hashes. ``rounds``, ``block``, ``frequent``, ``lookup`` and ``large`` decide
     the work only, not the result.
     """
     spark = docs.sparkSession
+    if FEWEST * similarity.apart(3 * PART) > PART:  # a class ends at 1.5 times its smallest size
+        large = 2**31
     folder = new_folder(spark)
     named = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(id), F.col(text)).alias("row"), F.col(text).alias("text"))
     kind = dict(named.dtypes)["id"]
     bits = ", ".join(f"{name} bigint" for name in _BITS)
     described = named.mapInArrow(
-        _describe(shingle, similarity), f"id {kind}, row bigint, node bigint, size int, {bits}, head array<bigint>"
+        _describe(shingle, similarity, large),
+        f"id {kind}, row bigint, node bigint, size int, {bits}, head array<bigint>, parts array<bigint>",
     )
     rows = written(described, f"{folder}/rows")
     nodes = rows.groupBy("node").agg(F.min("row").alias("row"), F.first("size").alias("size"), *(F.first(b).alias(b) for b in _BITS))
     nodes = written(nodes, f"{folder}/nodes")
 
     shared = spark.sparkContext.broadcast(frequent_shingles(rows, frequent, FLAGGED))
-    heads = rows.select("node", "size", "head")
-    posted = written(heads.mapInArrow(_postings(shared, similarity), "key bigint, node bigint"), f"{folder}/posted")
+    listed = rows.select("node", "size", "head", "parts")
+    posted = written(listed.mapInArrow(_postings(shared, similarity), "key bigint, node bigint"), f"{folder}/posted")
     several = posted.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("rows"))
     several = several.where("low < high").select("key", "rows")
     members = join_salted(posted, several, "key", "rows", F.col("node")).select("key", "node").distinct()
@@ -450,7 +510,7 @@ def similar_groups(
         met = dealt.select("key", "loose_block", "block", "node", "component", "size", "flags", *_BITS).mapInArrow(
             _joiner(similarity, nearest), _PAIRS
         )
-        pairs = _promising(met, members, nearest).where(_enough(similarity))
+        pairs = _promising(met, nearest, similarity, large)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs.select("a", "b"), f"{path}/pairs")
@@ -471,18 +531,11 @@ def _enough(similarity: Similarity) -> Column:
     return similarity.linked(most, F.col("size_a"), F.col("size_b"))
 
 
-def _promising(met: DataFrame, members: DataFrame, nearest: bool) -> DataFrame:
-    """Distinct pairs with how many of their first shingles they share.
-
-    The last round visits every list, so a pair comes up once for each; before, it is counted.
-    """
+def _promising(met: DataFrame, nearest: bool, similarity: Similarity, large: int) -> DataFrame:
+    """Distinct pairs. Where every list is visited, pairs of small sets come up once for each first shingle they share."""
     sizes = [F.first(n).alias(n) for n in ("size_a", "size_b")]
-    if not nearest:
-        return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), *sizes)
-    pairs = met.groupBy("a", "b").agg(*sizes)
-    each = pairs.join(members.withColumnRenamed("node", "a"), "a")
-    each = each.join(members.withColumnRenamed("node", "b"), ["b", "key"])
-    return each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), *sizes)
+    pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), *sizes)
+    return pairs if nearest else pairs.where((F.greatest("size_a", "size_b") >= large) | _enough(similarity))
 
 
 def _needed_sets(

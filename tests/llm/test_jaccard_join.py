@@ -126,3 +126,46 @@ def test_a_third_of_all_rows_are_near_copies(spark):
     got = jj.similar_groups(rows, id="id", block=64)
     assert got.where("id % 3 = 0").select("component_id").distinct().collect() == [(0,)]
     assert got.where("id % 3 <> 0 AND id <> component_id").count() == 0
+
+
+@pytest.mark.parametrize(("share", "large"), [(50, 8), (80, 3), (90, 1), (90, 40), (100, 20)])
+def test_linked_sets_share_a_part(share, large):
+    rng, similarity = np.random.default_rng(share + large), jj.Similarity(share, 100)
+    lows, linked, classes = jj.size_classes(large), 0, set()
+    for _ in range(3000):
+        size = int(rng.integers(1, 200))
+        both, rest = rng.integers(0, 2**64, size, np.uint64), rng.integers(0, 2**64, 2 * size, np.uint64)
+        apart = int(similarity.apart(2 * size))
+        a = np.unique(np.append(both, rest[:size][: rng.integers(0, apart + 1)]))
+        b = np.unique(np.append(both, rest[size:][: rng.integers(0, apart + 1)]))
+        if max(len(a), len(b)) >= large and similarity.linked(size, len(a), len(b)):
+            shared = np.intersect1d(jj.parts(a, similarity, lows), jj.parts(b, similarity, lows))
+            assert len(shared) > 0
+            linked += 1
+            classes.add(len(a) < large or len(b) < large)
+    assert linked > 500 and (large < 4 or share == 100 or classes == {True, False})
+    other = np.unique(rng.integers(0, 2**64, 150, np.uint64))
+    if share >= 90:
+        assert not len(np.intersect1d(jj.parts(a, similarity, lows), jj.parts(other, similarity, lows)))
+
+
+def test_near_copies_below_the_threshold_make_few_pairs():
+    rng, similarity = random.Random(4), jj.Similarity()
+    base = [f"w{i}" for i in range(400)]
+    sets = [jj.shingle_set(" ".join(edited(rng, base, 6))) for _ in range(80)]
+    size = np.array(list(map(len, sets)))
+    pairs = list(combinations(sets, 2))
+    assert not any(similarity.linked(len(np.intersect1d(a, b)), len(a), len(b)) for a, b in pairs)
+    bits = np.array(list(map(jj.bitmap, sets))).view(np.uint64)
+    both = np.full(len(sets), jj._LEFT | jj._RIGHT)
+    levels = jj.build(np.zeros(len(sets), np.int64), bits, size, np.arange(len(sets)), both)
+    assert sum(len(x) for x, *_ in jj.visit(levels, similarity)) < len(pairs) / 20
+
+
+@pytest.mark.parametrize("large", [1, 30, 90])
+def test_classes_of_large_sets(spark, large):
+    rng = random.Random(large)
+    texts = [t for length in (14, 33, 48, 90) for t in families(rng, 4, 7, length=length)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = jj.similar_groups(table, large=large, block=16)
+    assert sorted(map(tuple, got.collect()), key=repr) == slow_rows(list(enumerate(texts)))
