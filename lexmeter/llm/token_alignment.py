@@ -47,6 +47,7 @@ REMEMBERED = 2**17
 
 _SPACE = "▁"
 _BETWEEN = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
+_NEW = object()
 _BATCH = 256
 #: Words that are encoded as one text, and at least.
 _TOGETHER = 512
@@ -70,14 +71,10 @@ class Vocabulary:
         return self.bytes[place + np.arange(len(place))]
 
 
-class Word(NamedTuple):
-    """The alignment of a word with the space before it."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    pairs: bytes  # of ids, one for each link
+#: The alignment of a word with the space before it: numbers of A and B tokens and of groups, the groups as text, and
+#: the id pairs as bytes, one for each link. Python's garbage collector passes over plain tuples of such values, while it
+#: would go through hundreds of thousands of remembered objects of a class again and again.
+Word = tuple[int, int, int, str, bytes]
 
 
 class Memory:
@@ -89,11 +86,15 @@ class Memory:
         self.older: dict[str, Word | None] = {}
 
     def recall(self, words: set[str]) -> dict[str, Word | None]:
-        recent, older = self.recent, self.older
-        found = {w: recent[w] for w in words & recent.keys()}
-        again = {w: older[w] for w in words & older.keys() if w not in found}
+        recent, older, found, again = self.recent, self.older, {}, {}
+        for word in words:
+            if (known := recent.get(word, _NEW)) is not _NEW:
+                found[word] = known
+            elif (known := older.get(word, _NEW)) is not _NEW:
+                again[word] = known
         recent.update(again)
-        return found | again
+        found.update(again)
+        return found
 
     def keep(self, words: dict[str, Word | None]) -> None:
         self.recent.update((w, found) for w, found in words.items() if len(w) <= self.short)
@@ -267,7 +268,7 @@ def _words(found: Alignment, last: list[np.ndarray], group: np.ndarray, tokens:
     text = np.append(0, last[0] + last[1]).tolist()
     counts = (np.diff(x, prepend=0).tolist() for x in (*last, group))
     return [
-        Word(*n, "".join(texts[text[i] : text[i + 1]])[:-1], pairs[8 * link[i] : 8 * link[i + 1]])
+        (*n, "".join(texts[text[i] : text[i + 1]])[:-1], pairs[8 * link[i] : 8 * link[i + 1]])
         for i, n in enumerate(zip(*counts, strict=True))
     ]
 
@@ -307,8 +308,8 @@ def _aligned(words: list[str], tokens: Tokenizers) -> list[Word | None]:
 
 
 def _row(found: list[Word | None]) -> tuple:
-    """Counts, the digest, and the distinct id pairs with how often each is linked."""
-    if not found or None in found:
+    """Counts, the digest, and the distinct id pairs with how often each is linked. A text with None has nothing else."""
+    if not found or found[0] is None:
         none = np.empty(0, np.int32)
         return 0, 0, 0, 0, "", none, none, none
     n_a, n_b, n_groups, groups, linked = zip(*found, strict=True)
@@ -329,13 +330,13 @@ def alignments(texts: list[str | None], tokens: Tokenizers) -> list[tuple]:
     if new:
         found = dict(zip(new, _aligned(new, tokens), strict=True))
         tokens.known.keep(found)
-        own |= found
-    rows = []
+        own.update(found)
+    rows, lost = [], {word for word in words if own[word] is None}
     for text, parts in zip(texts, cut, strict=True):
-        found = [own[word] for word in parts]
-        if None in found and len(parts) > 1:
-            found = align_words([text], *_encoded([text], tokens), tokens)
-        rows.append(_row(found))
+        if lost and len(parts) > 1 and not lost.isdisjoint(parts):
+            rows.append(_row(align_words([text], *_encoded([text], tokens), tokens)))
+        else:
+            rows.append(_row([own[word] for word in parts]))
     return rows
 
 

@@ -1,5 +1,6 @@
 """Token alignment against plain loops over decoded bytes."""
 
+import gc
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -158,3 +159,11 @@ def test_new_words_are_encoded_together(monkeypatch):
     for text, row in zip(texts, rows, strict=True):
         whole = ta._row(ta.align_words([text], *encode([text], tokens), tokens))
         assert [np.array_equal(x, y) for x, y in zip(row, whole, strict=True)] == [True] * 8
+
+
+def test_the_collector_passes_over_remembered_words(tokens):
+    own = tokens._replace(known=ta.Memory())
+    ta.alignments([" ".join(f"word{i}, naïve{i}" for i in range(300)), "holds ▁ as text"], own)
+    gc.collect()
+    assert len(own.known.recent) > 600 and None in own.known.recent.values()
+    assert not any(map(gc.is_tracked, own.known.recent.values()))
