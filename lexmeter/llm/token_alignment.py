@@ -1,18 +1,19 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes.
 
-A is a byte-level BPE of the ``tokenizers`` library, B a ``sentencepiece`` model. Both tell spans:
-A the characters a token covers, B the bytes of its surface. They are coarse cuts: a character of
-several bytes may be cut into several tokens, which then all claim all of it. Where the spans
-do not say how many bytes a token has, its decoded bytes do. The result is kept only if the decoded
-bytes of either side are those of the text.
+A is a byte-level BPE of the ``tokenizers`` library, B a ``sentencepiece`` model. A tells spans, the
+characters a token covers. They are coarse cuts: a character of several bytes may be cut into several
+tokens, which then all claim all of it. Where the spans do not say how many bytes a token has, its
+decoded bytes do. B's pieces are their own surface, so its ids tell their spans (its protos hold the same ones
+and take three times as long). The result is kept only if the decoded bytes of either side are those of the text.
 
 Token ends in bytes decide the rest: tokens overlap if their byte ranges do, and offsets where
 tokens of both sides end cut the text into groups.
 
 No token of either side holds a space behind another character (``load`` looks it up), so a text may
 be cut there beforehand: both tokenizers treat `` word`` alike wherever it stands, and a cut is the
-end of a group. Each process remembers the alignment of short words, and new ones of
-many texts are aligned together. A text with a word that either side cannot give back is aligned whole.
+end of a group. Arrow cuts the texts of a batch and numbers their words; each process remembers the alignment of
+short words, and new ones of many texts are aligned together. A text with a word that either side cannot give back
+is aligned whole. Rows are put together for the whole batch, from the words' numbers.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
-from operator import attrgetter
+from itertools import chain, pairwise, repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,34 +48,44 @@ REMEMBERED = 2**17
 
 _SPACE = "▁"
 _BETWEEN = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
+#: Texts with a space that is no cut: the first or last character, or behind white space (all that Python takes for it).
+_UNCUT = r"(?:\A|[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]) | \z"
 _NEW = object()
-_BATCH = 256
+#: Texts that are aligned together, and about how many bytes.
+_BATCH = 1024
+_BYTES = 2**20
+#: Of an id in a pair; what they leave of 63 numbers the text of a batch.
+_BITS = 24
 #: Words that are encoded as one text, and at least.
 _TOGETHER = 512
 _FEWEST = 8
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a array<int>, b array<int>, times array<int>"
 
 
-class Vocabulary:
-    """The bytes of each token, one after the other, and the id as text before each separator."""
+class Parts:
+    """Arrays, one after the other."""
 
-    def __init__(self, tokens: list[bytes], between: str, after: str):
-        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.texts = [f"{i}{end}" for i in range(len(tokens)) for end in (between, after)]
+    def __init__(self, values: np.ndarray, sizes: np.ndarray):
+        self.values, self.sizes = values, sizes
+        self.starts = np.cumsum(sizes) - sizes
 
-    def decoded(self, ids: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[ids]
+    @classmethod
+    def of(cls, parts: Sequence[bytes], kind: type = np.uint8) -> Parts:
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        return cls(np.frombuffer(b"".join(parts), kind), sizes // np.dtype(kind).itemsize)
+
+    def joined(self, which: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[which]
         ends = np.cumsum(sizes)
-        place = np.repeat(self.starts[ids] - ends + sizes, sizes)
-        return self.bytes[place + np.arange(len(place))]
+        place = np.repeat(self.starts[which] - ends + sizes, sizes)
+        return self.values[place + np.arange(len(place))]
 
 
-#: The alignment of a word with the space before it: numbers of A and B tokens and of groups, the groups as text, and
-#: the id pairs as bytes, one for each link. Python's garbage collector passes over plain tuples of such values, while it
+#: The alignment of a word with the space before it: numbers of A and B tokens and of groups, the groups as ASCII text,
+#: and the id pairs as bytes, one for each link. Python's garbage collector passes over plain tuples of such values, while it
 #: would go through hundreds of thousands of remembered objects of a class again and again.
-Word = tuple[int, int, int, str, bytes]
+Word = tuple[int, int, int, bytes, bytes]
+_NOTHING: Word = (0, 0, 0, b"", b"")
 
 
 class Memory:
@@ -85,30 +96,28 @@ class Memory:
         self.recent: dict[str, Word | None] = {}
         self.older: dict[str, Word | None] = {}
 
-    def recall(self, words: set[str]) -> dict[str, Word | None]:
-        recent, older, found, again = self.recent, self.older, {}, {}
-        for word in words:
-            if (known := recent.get(word, _NEW)) is not _NEW:
-                found[word] = known
-            elif (known := older.get(word, _NEW)) is not _NEW:
-                again[word] = known
-        recent.update(again)
-        found.update(again)
+    def recall(self, words: list[str]) -> list[Word | None | object]:
+        """What is known of each word, and ``_NEW`` of the others."""
+        found = list(map(self.recent.get, words, repeat(_NEW)))
+        for i, known in enumerate(found):
+            if known is _NEW and (known := self.older.get(words[i], _NEW)) is not _NEW:
+                found[i] = self.recent[words[i]] = known
         return found
 
-    def keep(self, words: dict[str, Word | None]) -> None:
-        self.recent.update((w, found) for w, found in words.items() if len(w) <= self.short)
+    def keep(self, words: list[str], found: list[Word | None]) -> None:
+        self.recent.update(pair for pair in zip(words, found, strict=True) if len(pair[0]) <= self.short)
         if len(self.recent) > self.size:
             self.recent, self.older = {}, self.recent
 
 
 class Tokenizers(NamedTuple):
-    """Both tokenizers of a process, and their vocabularies."""
+    """Both tokenizers of a process, the bytes of their tokens, and each id as text before either separator, A's first."""
 
     a: object
     b: object
-    of_a: Vocabulary
-    of_b: Vocabulary
+    of_a: Parts
+    of_b: Parts
+    ids: Parts
     in_words: bool
     known: Memory
 
@@ -154,7 +163,9 @@ def load(folder: str, byte_bpe: str, pieces: str) -> Tokenizers:
     b_bytes = [_piece_bytes(b.id_to_piece(i), b.is_byte(i)) for i in range(b.get_piece_size())]
     across = re.compile(r"\S ")
     in_words = not any(across.search(token.decode(errors="replace")) for token in chain(a_bytes, b_bytes))
-    return Tokenizers(a, b, Vocabulary(a_bytes, ",", "|"), Vocabulary(b_bytes, ",", ";"), in_words, Memory())
+    sides = ((len(a_bytes), ",|"), (len(b_bytes), ",;"))
+    ids = [f"{i}{end}".encode() for size, ends in sides for i in range(size) for end in ends]
+    return Tokenizers(a, b, Parts.of(a_bytes), Parts.of(b_bytes), Parts.of(ids), in_words, Memory())
 
 
 def _refined(coarse: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -173,9 +184,8 @@ def _refined(coarse: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 def _a_ends(encodings: list, wholes: list[str], data: bytes, tokens: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
     """Ids and ends of the tokens of some texts, one after the other."""
-    ids = np.fromiter(chain.from_iterable(e.ids for e in encodings), np.int64)
-    offsets = chain.from_iterable(e.offsets for e in encodings)
-    spans = np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
+    ids = np.concatenate([np.array(e.ids, np.int64) for e in encodings])
+    spans = np.concatenate([np.array(e.offsets, np.int64).reshape(-1, 2) for e in encodings])
     length = np.fromiter(map(len, wholes), np.int64, len(wholes))
     spans += np.repeat(np.cumsum(length) - length, list(map(len, encodings)))[:, None]
     if len(data) != length.sum():  # characters to bytes: before each character, and at the end
@@ -185,13 +195,10 @@ def _a_ends(encodings: list, wholes: list[str], data: bytes, tokens: Tokenizers)
     return ids, _refined(spans.T, ids, tokens.of_a.sizes)
 
 
-def _b_ends(protos: list, sizes: np.ndarray, tokens: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
-    """The same for B. ``sizes`` are those of the texts in bytes."""
-    pieces = [proto.pieces for proto in protos]
-    both = chain.from_iterable(map(attrgetter("id", "end"), chain.from_iterable(pieces)))
-    ids, end = np.fromiter(both, np.int64).reshape(-1, 2).T
-    # The surface lacks the space that B adds before the text.
-    end = end + 1 + np.repeat(np.cumsum(sizes) - sizes, list(map(len, pieces)))
+def _b_ends(pieces: list[np.ndarray], tokens: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
+    """The same for B, whose pieces are their surface. If its model changed the text, the bytes differ."""
+    ids = np.concatenate(pieces).astype(np.int64)
+    end = np.cumsum(tokens.of_b.sizes[ids])
     return ids, _refined(np.stack([np.append(0, end[:-1]), end]), ids, tokens.of_b.sizes)
 
 
@@ -205,15 +212,14 @@ def _linked(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return of_a, np.arange(len(of_a)) - np.repeat(np.cumsum(number) - number, number) + np.repeat(first, number)
 
 
-def align(texts: list[str], encodings: list, protos: list, tokens: Tokenizers) -> Alignment | None:
+def align(texts: list[str], encodings: list, pieces: list[np.ndarray], tokens: Tokenizers) -> Alignment | None:
     """The alignment of texts that follow each other; None if either side has other bytes than they."""
     wholes = [f" {text}" for text in texts]
-    parts = [whole.encode() for whole in wholes]
-    data = b"".join(parts)
+    data = "".join(wholes).encode()
     a, a_end = _a_ends(encodings, wholes, data, tokens)
-    b, b_end = _b_ends(protos, np.fromiter(map(len, parts), np.int64, len(parts)), tokens)
+    b, b_end = _b_ends(pieces, tokens)
     wanted = np.frombuffer(data, np.uint8)
-    if not all(np.array_equal(v.decoded(ids), wanted) for ids, v in ((a, tokens.of_a), (b, tokens.of_b))):
+    if not all(np.array_equal(v.joined(ids), wanted) for ids, v in ((a, tokens.of_a), (b, tokens.of_b))):
         return None
     cuts = a_end[b_end[np.minimum(np.searchsorted(b_end, a_end), len(b_end) - 1)] == a_end]
     link_a, link_b = _linked(a_end, b_end)
@@ -228,49 +234,46 @@ def _before(groups: np.ndarray, other: np.ndarray, inclusive: bool) -> np.ndarra
     return upto[own + inclusive]
 
 
-def _groups(found: Alignment, tokens: Tokenizers) -> list[str]:
-    """Groups as ``a1,a2|b1;a3|b2,b3;``: the ids of either side in order, each with what follows it."""
-    texts: list = [""] * (len(found.a) + len(found.b))
-    for ids, own, other, vocabulary, later in (
-        (found.a, found.a_groups, found.b_groups, tokens.of_a, False),
-        (found.b, found.b_groups, found.a_groups, tokens.of_b, True),
+def _groups(found: Alignment, tokens: Tokenizers) -> np.ndarray:
+    """Groups as ``a1,a2|b1;a3|b2,b3;``: the ids of either side in order, each with what follows it, as in ``Tokenizers``."""
+    which = np.empty(len(found.a) + len(found.b), np.int64)
+    for ids, own, other, first, later in (
+        (found.a, found.a_groups, found.b_groups, 0, False),
+        (found.b, found.b_groups, found.a_groups, 2 * len(tokens.of_a.sizes), True),
     ):
         last = np.zeros(len(ids), np.int64)
         last[own - 1] = 1
-        place = np.arange(len(ids)) + _before(own, other, later)
-        for at, text in zip(place.tolist(), map(vocabulary.texts.__getitem__, (2 * ids + last).tolist()), strict=True):
-            texts[at] = text
-    return texts
+        which[np.arange(len(ids)) + _before(own, other, later)] = first + 2 * ids + last
+    return which
 
 
-def _encoded(texts: list[str], tokens: Tokenizers) -> tuple[list, list]:
+def _encoded(texts: list[str], tokens: Tokenizers) -> tuple[list, list[np.ndarray]]:
     encodings = tokens.a.encode_batch([f" {text}" for text in texts], add_special_tokens=False)
-    return encodings, tokens.b.encode(texts, return_type="proto", num_threads=1)
+    return encodings, tokens.b.encode(texts, return_type="numpy", num_threads=1)
 
 
-def align_words(words: list[str], encodings: list, protos: list, tokens: Tokenizers) -> list[Word | None]:
+def align_words(words: list[str], encodings: list, pieces: list[np.ndarray], tokens: Tokenizers) -> list[Word | None]:
     """The alignment of each word; None where either side has other bytes than it."""
-    found = align(words, encodings, protos, tokens)
+    found = align(words, encodings, pieces, tokens)
     if found is None:  # at least one: look for it in both halves
         half = len(words) // 2
         halves = (slice(0, half), slice(half, None)) if half else ()
-        return list(chain.from_iterable(align_words(words[h], encodings[h], protos[h], tokens) for h in halves)) or [None]
-    last = [np.cumsum([len(e) for e in encodings]), np.cumsum([len(p.pieces) for p in protos])]
+        return list(chain.from_iterable(align_words(words[h], encodings[h], pieces[h], tokens) for h in halves)) or [None]
+    last = [np.cumsum([len(e) for e in encodings]), np.cumsum([len(p) for p in pieces])]
     group = np.searchsorted(found.a_groups, last[0], "right")
     return _words(found, last, group, tokens)
 
 
 def _words(found: Alignment, last: list[np.ndarray], group: np.ndarray, tokens: Tokenizers) -> list[Word | None]:
     """The alignment of each word, given how many tokens of either side and groups there are up to its end."""
-    link = np.append(0, np.searchsorted(found.link_a, last[0])).tolist()
-    pairs = (found.a[found.link_a] << 32 | found.b[found.link_b]).tobytes()
-    texts = _groups(found, tokens)
-    text = np.append(0, last[0] + last[1]).tolist()
+    link = np.append(0, 8 * np.searchsorted(found.link_a, last[0])).tolist()
+    pairs = (found.a[found.link_a] << _BITS | found.b[found.link_b]).tobytes()
+    which = _groups(found, tokens)
+    groups = tokens.ids.joined(which).tobytes()
+    text = np.append(0, np.cumsum(tokens.ids.sizes[which]))[np.append(0, last[0] + last[1])].tolist()
     counts = (np.diff(x, prepend=0).tolist() for x in (*last, group))
-    return [
-        (*n, "".join(texts[text[i] : text[i + 1]])[:-1], pairs[8 * link[i] : 8 * link[i + 1]])
-        for i, n in enumerate(zip(*counts, strict=True))
-    ]
+    texts = [groups[start : end - 1] for start, end in pairwise(text)]
+    return list(zip(*counts, texts, [pairs[start:end] for start, end in pairwise(link)], strict=True))
 
 
 def _joined(words: list[str], tokens: Tokenizers) -> list[Word | None]:
@@ -282,7 +285,7 @@ def _joined(words: list[str], tokens: Tokenizers) -> list[Word | None]:
     """
     text = " ".join(words)
     found = align([text], *_encoded([text], tokens), tokens)
-    ends = np.cumsum([len(word.encode()) + 1 for word in words])
+    ends = np.cumsum(pc.binary_length(pa.array(words, pa.large_string())).to_numpy() + 1)
     if found is None or not len(found.cuts) or not np.array_equal(
         found.cuts[np.minimum(np.searchsorted(found.cuts, ends), len(found.cuts) - 1)], ends
     ):
@@ -296,62 +299,128 @@ def _joined(words: list[str], tokens: Tokenizers) -> list[Word | None]:
 
 def _aligned(words: list[str], tokens: Tokenizers) -> list[Word | None]:
     """The alignment of each new word. Words with a space at the end would join with the next one's."""
-    together = [word for word in words if tokens.in_words and not word[-1].isspace()]
     alone = [word for word in words if not tokens.in_words or word[-1].isspace()]
-    found = {}
+    together = [word for word in words if not word[-1].isspace()] if alone else words
+    if not tokens.in_words:
+        together = []
+    found = []
     for start in range(0, len(together), _TOGETHER):
-        part = together[start : start + _TOGETHER]
-        found.update(zip(part, _joined(part, tokens), strict=True))
-    if alone:
-        found.update(zip(alone, align_words(alone, *_encoded(alone, tokens), tokens), strict=True))
-    return [found[word] for word in words]
+        found += _joined(together[start : start + _TOGETHER], tokens)
+    if not alone:
+        return found
+    known = dict(zip(together, found, strict=True))
+    known.update(zip(alone, align_words(alone, *_encoded(alone, tokens), tokens), strict=True))
+    return [known[word] for word in words]
+
+
+class Rows(NamedTuple):
+    """Counts and the digest of each text, and its distinct id pairs up to each end with how often each is linked."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    digests: list[str]
+    ends: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    times: np.ndarray
+
+
+def _rows(found: list[Word], cut: list[np.ndarray]) -> Rows:
+    """The rows of texts that are cut into the words of these numbers."""
+    n_a, n_b, n_groups, groups, linked = zip(*found, _NOTHING, strict=True)
+    words = np.concatenate([*cut, np.empty(0, np.int64)]).astype(np.int64)
+    last = np.cumsum([0, *map(len, cut)])
+    links = Parts.of(linked, np.int64)
+    sums = [np.diff(np.append(0, np.cumsum(np.array(n)[words]))[last]) for n in (n_a, n_b, n_groups, links.sizes)]
+    texts = [b";".join(map(groups.__getitem__, own.tolist())) for own in cut]
+    digests = [hashlib.sha256(text).hexdigest() if text else "" for text in texts]
+    pairs = np.sort(np.repeat(np.arange(len(cut)) << 2 * _BITS, sums[3]) | links.joined(words))
+    first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)])
+    times = np.diff(first, append=len(pairs))
+    pairs = pairs[first]
+    ends = np.searchsorted(pairs, np.arange(len(cut) + 1) << 2 * _BITS)
+    a, b = pairs >> _BITS & (1 << _BITS) - 1, pairs & (1 << _BITS) - 1
+    return Rows(*sums, digests, *(x.astype(np.int32) for x in (ends, a, b, times)))
+
+
+def _each(rows: Rows) -> list[tuple]:
+    """Each text's counts, digest, and id pairs."""
+    lists = (np.split(x, rows.ends[1:-1]) for x in (rows.a, rows.b, rows.times))
+    counts = (n.tolist() for n in rows[:4])
+    return list(zip(*counts, rows.digests, *lists, strict=True))
+
+
+def _cut(texts: list[str | None], in_words: bool) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct words of the texts, and their numbers in each text; none of a NULL or empty one."""
+    filled = [text for text in texts if text]
+    whole = pa.array(filled, pa.large_string())
+    if in_words:
+        parts = pc.split_pattern(whole, " ")
+        uncut = pc.match_substring_regex(whole, _UNCUT).to_numpy(zero_copy_only=False)
+        if uncut.any():
+            again = pa.array([_BETWEEN.split(filled[i]) for i in np.flatnonzero(uncut)], parts.type)
+            place = np.where(uncut, len(parts) + np.cumsum(uncut) - 1, np.arange(len(parts)))
+            parts = pa.concat_arrays([parts, again]).take(pa.array(place))
+        whole, sizes = parts.flatten(), parts.value_lengths().to_numpy()
+    else:
+        sizes = np.ones(len(filled), np.int64)
+    numbered = whole.dictionary_encode()
+    each = iter(np.split(numbered.indices.to_numpy(), np.cumsum(sizes)[:-1]))
+    none = np.empty(0, np.int64)
+    words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
+    return words, [next(each) if text else none for text in texts]
 
 
 def _row(found: list[Word | None]) -> tuple:
-    """Counts, the digest, and the distinct id pairs with how often each is linked. A text with None has nothing else."""
-    if not found or found[0] is None:
-        none = np.empty(0, np.int32)
-        return 0, 0, 0, 0, "", none, none, none
-    n_a, n_b, n_groups, groups, linked = zip(*found, strict=True)
-    pairs = np.sort(np.frombuffer(b"".join(linked), np.int64))
-    first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-    pair, times = pairs[first], np.diff(first, append=len(pairs))
-    digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-    ids = ((pair >> 32).astype(np.int32), (pair & 0xFFFFFFFF).astype(np.int32), times.astype(np.int32))
-    return sum(n_a), sum(n_b), sum(n_groups), len(pairs), digest, *ids
+    """The row of a text of these words. A text with None has nothing."""
+    return _each(_rows([known or _NOTHING for known in found], [np.arange(len(found))]))[0]
 
 
-def alignments(texts: list[str | None], tokens: Tokenizers) -> list[tuple]:
+def aligned_rows(texts: list[str | None], tokens: Tokenizers) -> Rows:
     """Counts, digest and id pairs of some texts."""
-    cut = [(_BETWEEN.split(text) if tokens.in_words else [text]) if text else [] for text in texts]
-    words = set(chain.from_iterable(cut))
-    own = tokens.known.recall(words)
-    new = list(words.difference(own))
-    if new:
-        found = dict(zip(new, _aligned(new, tokens), strict=True))
-        tokens.known.keep(found)
-        own.update(found)
-    rows, lost = [], {word for word in words if own[word] is None}
-    for text, parts in zip(texts, cut, strict=True):
-        if lost and len(parts) > 1 and not lost.isdisjoint(parts):
-            rows.append(_row(align_words([text], *_encoded([text], tokens), tokens)))
-        else:
-            rows.append(_row([own[word] for word in parts]))
-    return rows
+    words, cut = _cut(texts, tokens.in_words)
+    found = tokens.known.recall(words)
+    at = [i for i, known in enumerate(found) if known is _NEW]
+    new = [words[i] for i in at]
+    aligned = _aligned(new, tokens)
+    tokens.known.keep(new, aligned)
+    for i, known in zip(at, aligned, strict=True):
+        found[i] = known
+    if None in found:
+        lost = np.array([known is None for known in found])
+        for i, own in enumerate(cut):
+            if len(own) > 1 and lost[own].any():
+                cut[i] = np.array([len(found)])
+                found += align_words([texts[i]], *_encoded([texts[i]], tokens), tokens)
+        found = [known or _NOTHING for known in found]
+    return _rows(found, cut)
+
+
+def alignments(texts: list[str | None], tokens: Tokenizers) -> list[tuple]:
+    """The same, text by text."""
+    return _each(aligned_rows(texts, tokens))
+
+
+def _slices(texts: pa.Array) -> list[int]:
+    """Where to cut a batch, for what a slice takes in memory grows with its texts."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    full = np.diff(np.cumsum(sizes, dtype=np.int64) // _BYTES, prepend=0)
+    return sorted({0, *np.flatnonzero(full).tolist(), *range(0, len(texts), _BATCH), len(texts)})
 
 
 def _aligner(folder: str, byte_bpe: str, pieces: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = load(folder, byte_bpe, pieces)
         for batch in batches:
-            for start in range(0, len(batch), _BATCH):
-                part = batch.slice(start, _BATCH)
-                rows = alignments(part.column("text").to_pylist(), tokens)
-                counts, lists = [list(x) for x in zip(*rows, strict=True)], pa.list_(pa.int32())
+            for start, end in pairwise(_slices(batch.column("text"))):
+                part = batch.slice(start, end - start)
+                rows = aligned_rows(part.column("text").to_pylist(), tokens)
                 columns = {"id": part.column("id"), "row": part.column("row")}
-                columns |= {f"n_{n}": pa.array(counts[i], pa.int64()) for i, n in enumerate(("a", "b", "groups", "links"))}
-                columns["groups_sha256"] = pa.array(counts[4], pa.string())
-                columns |= {n: pa.array(counts[5 + i], lists) for i, n in enumerate(("a", "b", "times"))}
+                columns |= {n: pa.array(getattr(rows, n), pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")}
+                columns["groups_sha256"] = pa.array(rows.digests, pa.string())
+                columns |= {n: pa.ListArray.from_arrays(rows.ends, getattr(rows, n)) for n in ("a", "b", "times")}
                 yield pa.record_batch(columns)
 
     return run

@@ -3,9 +3,11 @@
 import gc
 import hashlib
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexmeter.llm import token_alignment as ta
@@ -167,3 +169,50 @@ def test_the_collector_passes_over_remembered_words(tokens):
     gc.collect()
     assert len(own.known.recent) > 600 and None in own.known.recent.values()
     assert not any(map(gc.is_tracked, own.known.recent.values()))
+
+
+class Recorder:
+    """A tokenizer that notes what it is asked for."""
+
+    def __init__(self, own, asked):
+        self.own, self.asked = own, asked
+
+    def encode(self, texts, **how):
+        self.asked.append(how["return_type"])
+        return self.own.encode(texts, **how)
+
+
+class Lookups(dict):
+    def get(self, word, *other):
+        self.asked = [*getattr(self, "asked", []), word]
+        return super().get(word, *other)
+
+
+def test_each_word_of_a_batch_is_looked_up_once_and_no_protos_are_made(tokens):
+    asked, known = [], ta.Memory()
+    known.recent = Lookups()
+    own = tokens._replace(b=Recorder(tokens.b, asked), known=known)
+    texts = ["the cat and the dog", "the dog\n and ▁ cat", "cat the"] * 5
+    rows = ta.alignments(texts, own)
+    assert asked and set(asked) == {"numpy"}
+    assert sorted(known.recent.asked) == sorted(set(known.recent.asked)) and len(known.recent.asked) == 6
+    assert [r[:5] for r in rows] == [(*w[:4], w[6]) for w in slow_rows(texts, tokens)]
+
+
+def test_arrow_cuts_texts_as_the_pattern_does():
+    spaces = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+    texts = [f"a{x} b{x}c {x}d" for x in spaces] + [" a", "a ", "  ", " ", "a b", "a  b", "\n", None, "", "é 文 b", "a\x00 b"]
+    words, cut = ta._cut(texts, True)
+    assert [[words[i] for i in own] for own in cut] == [ta._BETWEEN.split(t) if t else [] for t in texts]
+    assert len(words) == len(set(words))
+
+
+def test_slices_are_bounded_by_bytes_and_texts(monkeypatch):
+    texts = pa.array(["x" * 10, None, "é" * 300, "", "x" * 99, "x"] + ["x"] * 30)
+    monkeypatch.setattr(ta, "_BYTES", 100)
+    monkeypatch.setattr(ta, "_BATCH", 16)
+    ends = ta._slices(texts)
+    assert ends[0] == 0 and ends[-1] == len(texts) and max(np.diff(ends)) <= 16
+    sizes = [len((t or "").encode()) for t in texts.to_pylist()]
+    assert all(sum(sizes[s : e - 1]) < 100 or sum(sizes[s + 1 : e]) < 100 for s, e in zip(ends, ends[1:]))
+    assert ta._slices(texts[:0]) == [0]
